@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bpe, chat, tokencount, urlfilter
+from corpusloom.llm import bpe, chat, decontam, langid, quality, tokencount, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -110,3 +110,45 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     planted = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], kind)
     rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
     return chat.read_back(chat.segments(rows))
+
+
+@_query()
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document, learned from the labels outside the held-out quarter."""
+    docs = _table(spark, folder, "documents")
+    trees = quality.fit(docs, _table(spark, folder, "labels"))
+    scored = quality.score(docs, trees)
+    return scored.select("doc_id", F.coalesce(quality.remainder() == 2, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@_query()
+def op7_langid(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned outside the held-out quarter."""
+    docs = _table(spark, folder, "documents")
+    named = langid.identify(docs, langid.dictionaries(docs))
+    return named.select("doc_id", F.coalesce(quality.remainder() == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+_DECONTAM_SQL = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words FROM documents),
+b AS (
+  SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words FROM benchmark),
+bs AS (SELECT item_id, words, least(8, len(words)) AS n, unnest(range(1, greatest(len(words) - 7, 1) + 1)) AS i FROM b WHERE len(words) > 0),
+bw AS (SELECT DISTINCT item_id, n, array_to_string(words[i:i + n - 1], ' ') AS win FROM bs),
+ns AS (SELECT DISTINCT n FROM bw),
+ds AS (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM d, ns WHERE len(words) >= n),
+dw AS (SELECT doc_id, i, n, array_to_string(words[i:i + n - 1], ' ') AS win FROM ds),
+hits AS (SELECT doc_id, i, n, item_id FROM dw JOIN bw USING (n, win)),
+places AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_items, 0) >= 2 AS contaminated
+FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+@_query(_DECONTAM_SQL)
+def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document against the windows of every benchmark item."""
+    return decontam.decontaminate(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
