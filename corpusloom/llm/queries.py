@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bpe, chat, decontam, langid, quality, tokencount, urlfilter
+from corpusloom.llm import bpe, chat, decontam, langid, neardup, quality, tokencount, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -152,3 +152,9 @@ FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)
 def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Every document against the windows of every benchmark item."""
     return decontam.decontaminate(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+@_query()
+def op4_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of near-duplicates among all documents: three-word shingles, similarity 0.85."""
+    return neardup.near_duplicates(_table(spark, folder, "documents"), words=3, percent=85)
