@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bpe, chat, decontam, langid, neardup, quality, tokencount, urlfilter
+from corpusloom.llm import ann, bpe, chat, decontam, langid, lm, neardup, quality, tokencount, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -158,3 +158,15 @@ def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 def op4_neardup(spark: SparkSession, folder: str) -> DataFrame:
     """Components of near-duplicates among all documents: three-word shingles, similarity 0.85."""
     return neardup.near_duplicates(_table(spark, folder, "documents"), words=3, percent=85)
+
+
+@_query()
+def op6_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's log10 probability by the hierarchical Pitman-Yor model of four fifths of them."""
+    return lm.lm_scores(_table(spark, folder, "documents"))
+
+
+@_query()
+def op9_ann(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest of all vectors, for each whose id is divisible by 100."""
+    return ann.nearest(_table(spark, folder, "embeddings"), every=100, k=10)
