@@ -1,4 +1,78 @@
-"""Placeholder until the stages exist."""
+"""From raw documents to token ids: quality, language, near-duplicates, benchmark leaks, encoding.
+
+Every stage takes (spark, docs, sf_dir) and works on all that its predecessor
+kept; its result is written as Parquet into the cluster's shared folder and read
+again.  All stages but the last return the columns that they were given.
+"""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from corpusloom.llm import bpe, decontam, langid, neardup, quality
+
+#: No SQL: trees, compression and byte-pair encoding have none; the tests hold each stage against its brute-force version.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents whose quality score is below 0.7; without any usable label nothing is dropped."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    trees = quality.fit(docs, labels)
+    if not len(trees.roots):
+        return docs
+    return quality.score(docs, trees, keep=docs.columns).filter("predicted = 1").select(docs.columns)
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents without a letter, and those of which two languages are equally likely."""
+    contents = langid.dictionaries(docs)
+    if not contents:
+        return docs
+    return langid.identify(docs, contents, keep=docs.columns).filter("not rejected").select(docs.columns)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near-duplicates: five-word shingles, similarity 0.8.
+
+    Rows of one id are kept or dropped together, but for exact repetitions, of which one stays.
+    """
+    kept = neardup.near_duplicates(docs, words=5, percent=80).filter("kept").select("doc_id")
+    digest = F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))
+    return docs.join(kept, "doc_id", "left_semi").withColumn("__row", digest).dropDuplicates(["doc_id", "__row"]).select(docs.columns)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that hold a window of a benchmark item; rows of one id are dropped together."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    leaking = decontam.decontaminate(docs, benchmark, size=8, least=1).filter("contaminated").select("doc_id")
+    return docs.join(leaking, "doc_id", "left_anti").select(docs.columns)
+
+
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, with digests of the ids and of the bytes that they decode to."""
+    return bpe.encoded(docs)
+
+
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("language id", language_stage),
+    ("minhash near-dedup", near_duplicate_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("byte-level bpe", encoding_stage),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each result is written and read again."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pipeline-")
+    place = f"{shared}/pipeline-{uuid.uuid4().hex}"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for number, (_, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.parquet(f"{place}/{number}")
+        docs = spark.read.parquet(f"{place}/{number}")
+    return docs

@@ -168,31 +168,8 @@ def codec(name: str) -> BytePairCodec:
     return BytePairCodec(ranks, public_tokenizers.PATTERN)
 
 
-def encode_column(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", text: str = "text") -> DataFrame:
-    """Adds ``token_ids`` (array of long) to a table; null texts have no ids.
-
-    Other columns pass through unchanged, whatever their names; a column that is
-    already called ``token_ids`` is replaced.
-    """
-    kept = [c for c in docs.columns if c != "token_ids"]
-    docs = docs.select(*(f"`{c}`" for c in kept))
-    at = kept.index(text)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = codec(vocabulary).encode_bytes
-        for batch in batches:
-            parts = [np.frombuffer(encode(x.as_py()), "<u4").astype(np.int64) for x in batch.column(at)]
-            offsets = np.cumsum([0, *map(len, parts)], dtype=np.int32)
-            values = pa.array(np.concatenate([np.empty(0, np.int64), *parts]))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(offsets), values)], names=[*kept, "token_ids"])
-
-    from pyspark.sql import types as T
-
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("token_ids", T.ArrayType(T.LongType()))]))
-
-
-def digests(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken") -> DataFrame:
-    """One row per row of ``docs(doc_id, text)``: number and digest of the ids, digest and size of the decoded bytes.
+def encoded(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", ids: bool = True) -> DataFrame:
+    """One row per row of ``docs(doc_id, text)``: number and digest of the ids, digest and size of the decoded bytes, and the ids if wanted.
 
     Null and empty texts have no tokens and the digests of nothing.  Repeated
     rows give repeated rows; other columns are ignored.
@@ -201,17 +178,22 @@ def digests(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken") -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(vocabulary)
         for batch in batches:
-            n, ids_hex, out_hex, sizes = [], [], [], []
+            n, ids_hex, out_hex, sizes, all_ids = [], [], [], [], []
             for text in batch.column(1):
-                ids = bpe.encode_bytes(text.as_py())
-                decoded = bpe.decode(np.frombuffer(ids, "<u4").tolist())
-                n.append(len(ids) // 4)
-                ids_hex.append(hashlib.sha256(ids).hexdigest())
+                packed = bpe.encode_bytes(text.as_py())
+                numbers = np.frombuffer(packed, "<u4")
+                decoded = bpe.decode(numbers.tolist())
+                if ids:
+                    all_ids.append(numbers.astype(np.int32))
+                n.append(len(numbers))
+                ids_hex.append(hashlib.sha256(packed).hexdigest())
                 out_hex.append(hashlib.sha256(decoded).hexdigest())
                 sizes.append(len(decoded))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_hex, pa.string()), pa.array(out_hex, pa.string()), pa.array(sizes, pa.int64())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_bytes"],
-            )
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_bytes long")
+            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_hex, pa.string()), pa.array(out_hex, pa.string()), pa.array(sizes, pa.int64())]
+            if ids:
+                offsets = pa.array(np.cumsum([0, *map(len, all_ids)], dtype=np.int32))
+                columns.append(pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.empty(0, np.int32), *all_ids]))))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_bytes", "token_ids"][: len(columns)])
+
+    kinds = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_bytes long"
+    return docs.select("doc_id", "text").mapInArrow(run, kinds + ", token_ids array<int>" * ids)

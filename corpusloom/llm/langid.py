@@ -100,12 +100,13 @@ def identify(docs: DataFrame, contents: dict[str, bytes], narrow: int = 1, keep:
     Without any language everything is ``und``.
     """
     names = keep or ["doc_id"]
+    place = names.index("text") if "text" in names else len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressors = Compressors(contents) if contents else None
         for batch in batches:
             rows = []
-            for text in batch.column(len(names)):
+            for text in batch.column(place):
                 text = text.as_py()
                 if compressors is None or text is None or not _LETTER.search(text):
                     rows.append(("und", 0.0, True))
@@ -115,4 +116,4 @@ def identify(docs: DataFrame, contents: dict[str, bytes], narrow: int = 1, keep:
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())], names=[*names, "lang_pred", "score", "rejected"])
 
     kinds = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names)
-    return docs.select(*names, F.col("text").alias("__text")).mapInArrow(run, f"{kinds}, lang_pred string, score double, rejected boolean")
+    return docs.select(*(F.col(f"`{n}`") for n in names), *([] if "text" in names else ["text"])).mapInArrow(run, f"{kinds}, lang_pred string, score double, rejected boolean")

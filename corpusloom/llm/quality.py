@@ -172,13 +172,13 @@ def score(docs: DataFrame, trees: Trees, least: float = 0.7, keep: list[str] | N
     A null text is scored as an empty one.
     """
     names = keep or ["doc_id"]
-    sent = trees
+    place = names.index("text") if "text" in names else len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.array([statistics(t.as_py()) for t in batch.column(len(names))]).reshape(-1, len(FEATURES))
-            s = sent.score(x)
+            x = np.array([statistics(t.as_py()) for t in batch.column(place)]).reshape(-1, len(FEATURES))
+            s = trees.score(x)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(s), pa.array((s >= least).astype(np.int32))], names=[*names, "score", "predicted"])
 
     kinds = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names)
-    return docs.select(*names, F.col("text").alias("__text")).mapInArrow(run, f"{kinds}, score double, predicted int")
+    return docs.select(*(F.col(f"`{n}`") for n in names), *([] if "text" in names else ["text"])).mapInArrow(run, f"{kinds}, score double, predicted int")

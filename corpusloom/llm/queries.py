@@ -72,7 +72,7 @@ def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 @_query()
 def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every document and the bytes that they decode to, as digests."""
-    return bpe.digests(_table(spark, folder, "documents"))
+    return bpe.encoded(_table(spark, folder, "documents"), ids=False)
 
 
 @_query()
