@@ -14,18 +14,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import bpe, decontam, langid, neardup, quality
+from corpusloom.llm.shared import unused
 
 #: No SQL: trees, compression and byte-pair encoding have none; the tests hold each stage against its brute-force version.
 ORACLE_SQL = None
 
 
+def _columns(df: DataFrame, docs: DataFrame) -> DataFrame:
+    return df.select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents whose quality score is below 0.7; without any usable label nothing is dropped."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     trees = quality.fit(docs, labels)
     if not len(trees.roots):
         return docs
-    return quality.score(docs, trees, keep=docs.columns).filter("predicted = 1").select(docs.columns)
+    (_, predicted) = unused(["score", "predicted"], docs.columns)
+    return _columns(quality.score(docs, trees, keep=docs.columns).filter(F.col(predicted) == 1), docs)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +39,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     contents = langid.dictionaries(docs)
     if not contents:
         return docs
-    return langid.identify(docs, contents, keep=docs.columns).filter("not rejected").select(docs.columns)
+    (*_, rejected) = unused(["lang_pred", "score", "rejected"], docs.columns)
+    return _columns(langid.identify(docs, contents, keep=docs.columns).filter(~F.col(rejected)), docs)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,15 +49,16 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Rows of one id are kept or dropped together, but for exact repetitions, of which one stays.
     """
     kept = neardup.near_duplicates(docs, words=5, percent=80).filter("kept").select("doc_id")
+    (row,) = unused(["row"], docs.columns)
     digest = F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))
-    return docs.join(kept, "doc_id", "left_semi").withColumn("__row", digest).dropDuplicates(["doc_id", "__row"]).select(docs.columns)
+    return _columns(docs.join(kept, "doc_id", "left_semi").withColumn(row, digest).dropDuplicates(["doc_id", row]), docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold a window of a benchmark item; rows of one id are dropped together."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     leaking = decontam.decontaminate(docs, benchmark, size=8, least=1).filter("contaminated").select("doc_id")
-    return docs.join(leaking, "doc_id", "left_anti").select(docs.columns)
+    return _columns(docs.join(leaking, "doc_id", "left_anti"), docs)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,8 +25,9 @@ SEGMENTS = "conv_id long, turn_no long, seg_no long, kind string, text string, l
 class Template:
     """Marks of a turn, the roles' names in them, the roles that are learned, and which role may follow which.
 
-    ``escape`` and the first characters of both marks never stand unescaped in
-    a text, so neither mark can appear inside one.
+    In a text the escape and the first characters of both marks are followed by
+    the escape, which no mark has as its second character: so no mark can appear
+    inside a text, and taking the escapes out again gives the text back.
     """
 
     opening: str = "### "
@@ -38,12 +39,20 @@ class Template:
     start: frozenset[str] = frozenset({"system", "user"})
     follows: dict[str, frozenset[str]] = field(default_factory=lambda: {"system": frozenset({"user"}), "user": frozenset({"assistant"}), "assistant": frozenset({"user"})})
 
+    def __post_init__(self) -> None:
+        for mark in (self.opening, self.naming, self.closing):
+            if len(mark) < 2 or len(self.escape) != 1 or self.escape in mark[:2]:
+                raise ValueError("marks have two characters at least and none of these is the escape")
+
+    def _risky(self, more: str = "") -> str:
+        """A pattern of the characters that are guarded."""
+        return "[" + re.escape("".join(sorted({self.escape, self.opening[0], self.closing[0], *more}))) + "]"
+
     def _guard(self, text: str, more: str = "") -> str:
-        risky = re.escape("".join({self.escape, self.opening[0], self.closing[0], *more}))
-        return re.sub(f"[{risky}]", lambda m: self.escape + m[0], text)
+        return re.sub(self._risky(more), lambda m: m[0] + self.escape, text)
 
-    def unguard(self, text: str) -> str:
-        return re.sub(re.escape(self.escape) + "(.)", r"\1", text, flags=re.S)
+    def unguard(self, text: str, more: str = "") -> str:
+        return re.sub(f"({self._risky(more)}){re.escape(self.escape)}", r"\1", text)
 
     def head(self, role: str) -> str:
         """The opening of a turn; a role without a name is written out after ``=``."""
@@ -55,12 +64,12 @@ class Template:
 
     def parse(self, turn: str) -> tuple[str, str]:
         """(role, text) of one formatted turn."""
-        e, stop, end = re.escape(self.escape), re.escape(self.naming[0]), re.escape(self.closing[0])
-        found = re.fullmatch(f"{re.escape(self.opening)}((?:[^{e}{stop}]|{e}.)*){re.escape(self.naming)}((?:[^{e}{end}]|{e}.)*){re.escape(self.closing)}", turn, re.S)
+        named, said = (f"((?:(?!{self._risky(x)}).|{self._risky(x)}{re.escape(self.escape)})*)" for x in (self.naming[0], ""))
+        found = re.fullmatch(f"{re.escape(self.opening)}{named}{re.escape(self.naming)}{said}{re.escape(self.closing)}", turn, re.S)
         if not found:
             raise ValueError("not a formatted turn")
         roles = {name: role for role, name in self.names.items()}
-        role = self.unguard(found[1][1:]) if found[1].startswith("=") else roles[found[1]]
+        role = self.unguard(found[1][1:], self.naming[0]) if found[1].startswith("=") else roles[found[1]]
         return role, self.unguard(found[2])
 
 

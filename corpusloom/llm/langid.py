@@ -15,8 +15,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from corpusloom.llm.quality import remainder
+from corpusloom.llm.shared import unused
 
 _LETTER = re.compile(r"[^\W\d_]")
 #: ASCII bytes that are not letters become spaces, so that only words are compared.
@@ -97,9 +99,11 @@ def identify(docs: DataFrame, contents: dict[str, bytes], narrow: int = 1, keep:
     Null texts and texts without a letter are ``und`` with score 0, and are
     rejected.  ``rejected`` is also true where the best two languages differ by
     less than ``narrow`` bytes (1: only ties); ties go to the language with more documents.
-    Without any language everything is ``und``.
+    Without any language everything is ``und``.  If ``keep`` has columns of
+    these names, the added ones end in an underscore.
     """
     names = keep or ["doc_id"]
+    added = unused(["lang_pred", "score", "rejected"], names)
     place = names.index("text") if "text" in names else len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,7 +117,7 @@ def identify(docs: DataFrame, contents: dict[str, bytes], narrow: int = 1, keep:
                 else:
                     rows.append(verdict(compressors.sizes(plain(text)), compressors.languages, narrow))
             langs, scores, rejected = zip(*rows, strict=True) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())], names=[*names, "lang_pred", "score", "rejected"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())], names=[*names, *added])
 
-    kinds = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names)
-    return docs.select(*(F.col(f"`{n}`") for n in names), *([] if "text" in names else ["text"])).mapInArrow(run, f"{kinds}, lang_pred string, score double, rejected boolean")
+    kinds = StructType([*(docs.schema[n] for n in names), *map(StructField, added, (StringType(), DoubleType(), BooleanType()))])
+    return docs.select(*(F.col(f"`{n}`") for n in names), *([] if "text" in names else ["text"])).mapInArrow(run, kinds)

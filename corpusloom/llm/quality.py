@@ -16,6 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
+
+from corpusloom.llm.shared import unused
 
 _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
@@ -169,16 +172,18 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> Trees:
 def score(docs: DataFrame, trees: Trees, least: float = 0.7, keep: list[str] | None = None) -> DataFrame:
     """Adds ``score`` and ``predicted`` to ``docs`` (columns ``keep``, by default doc_id), for every row, from its whole text.
 
-    A null text is scored as an empty one.
+    A null text is scored as an empty one.  If ``keep`` has columns of these
+    names, the added ones end in an underscore.
     """
     names = keep or ["doc_id"]
+    added = unused(["score", "predicted"], names)
     place = names.index("text") if "text" in names else len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = np.array([statistics(t.as_py()) for t in batch.column(place)]).reshape(-1, len(FEATURES))
             s = trees.score(x)
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(s), pa.array((s >= least).astype(np.int32))], names=[*names, "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(s), pa.array((s >= least).astype(np.int32))], names=[*names, *added])
 
-    kinds = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names)
-    return docs.select(*(F.col(f"`{n}`") for n in names), *([] if "text" in names else ["text"])).mapInArrow(run, f"{kinds}, score double, predicted int")
+    kinds = StructType([*(docs.schema[n] for n in names), StructField(added[0], DoubleType()), StructField(added[1], IntegerType())])
+    return docs.select(*(F.col(f"`{n}`") for n in names), *([] if "text" in names else ["text"])).mapInArrow(run, kinds)

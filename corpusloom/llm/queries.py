@@ -31,19 +31,19 @@ RULES = [
     urlfilter.rule(verdict, text)
     for verdict, text in (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 ]
-#: Hosts of link farms and advertisers: the canonical URLs of their pages are the query's listing.
-LISTED_HOSTS = r"(^|\.)(cheap-pills|free-bets|spam-farm|ads-track)\."
+#: Advertised addresses: the canonical URLs of pages reached by a campaign link are the query's listing.
+LISTED_URLS = "[?&]utm_source="
 
 _URL_SQL = r"""
 WITH parts AS (
-  SELECT page_id,
+  SELECT page_id, url,
          translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
   FROM pages),
 keyed AS (
   SELECT *, CASE WHEN host <> '' THEN regexp_replace(host, '^(www|m)\.', '') || regexp_replace(path, '/+$', '') END AS canonical FROM parts),
 listed AS (
-  SELECT DISTINCT canonical FROM keyed WHERE regexp_matches(host, '(^|\.)(cheap-pills|free-bets|spam-farm|ads-track)\.')),
+  SELECT DISTINCT canonical FROM keyed WHERE regexp_matches(url, '[?&]utm_source=')),
 judged AS (
   SELECT k.*, l.canonical IS NOT NULL AS hit,
     CASE WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
@@ -61,10 +61,10 @@ FROM judged
 
 @_query(_URL_SQL)
 def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
-    """Every page by the rules, then by the listing of the link farms' canonical URLs."""
+    """Every page by the rules, then by the listing of the advertised canonical URLs."""
     pages = _table(spark, folder, "pages").select("page_id", "url")
     host = urlfilter.host_of(F.col("url"))
-    listed = pages.filter(host.rlike(LISTED_HOSTS)).select(urlfilter.canonical(host, urlfilter.path_of(F.col("url"))).alias("canonical"))
+    listed = pages.filter(F.col("url").rlike(LISTED_URLS)).select(urlfilter.canonical(host, urlfilter.path_of(F.col("url"))).alias("canonical"))
     keys = listed.select(F.approx_count_distinct("canonical")).first()[0]
     return urlfilter.url_verdicts(pages, RULES, listed, keys=keys)
 

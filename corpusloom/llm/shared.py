@@ -16,6 +16,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def unused(names: list[str], taken: list[str]) -> list[str]:
+    """The names, with underscores after those that a table already has."""
+    held, out = {x.lower() for x in taken}, []
+    for name in names:
+        while name.lower() in held:
+            name += "_"
+        held.add(name.lower())
+        out.append(name)
+    return out
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label) for every node of ``links(a, b)``: the smallest node that it is connected with.
 
