@@ -14,17 +14,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_APART = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: ASCII characters that no word holds: all but digits and letters.
+APART = "".join(map(chr, [*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))
 #: Distinct benchmark words up to which they are broadcast; more are joined by shuffle.
 BROADCAST_WORDS = 100_000
 
 
 def words(text: Column) -> Column:
     """Lower-cased words; an empty array for null."""
-    cut = F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), _APART)
-    # Only the first and the last part can be empty.
-    cut = F.when(F.element_at(cut, 1) == "", F.slice(cut, 2, F.greatest(F.size(cut) - 1, F.lit(0)))).otherwise(cut)
-    return F.when((F.size(cut) > 0) & (F.try_element_at(cut, F.lit(-1)) == ""), F.slice(cut, 1, F.greatest(F.size(cut) - 1, F.lit(0)))).otherwise(cut)
+    plain = F.translate(F.coalesce(text, F.lit("")), UPPER + APART, LOWER + " " * len(APART))
+    return F.array_remove(F.split(plain, " "), "")
 
 
 def windows(benchmark: DataFrame, size: int) -> DataFrame:
@@ -48,7 +47,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 8, least: i
     few = own.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS  # a checked size
     small = F.broadcast if few else (lambda df: df)
 
-    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("words"))
+    whole = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    texts = whole.select("doc_id", "text_hash", words(F.col("text")).alias("words"))
     each = texts.select("doc_id", "text_hash", F.size("words").alias("n_words"), F.posexplode("words").alias("pos", "word"))
     counted = texts.select(F.explode("words").alias("word")).join(small(own), "word", "left_semi").groupBy("word").agg(F.count("*").alias("df"))
 
@@ -65,7 +65,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 8, least: i
         F.explode(F.filter("wanted", lambda w: (F.col("pos") >= w["at"]) & (F.col("pos") - w["at"] + w["length"] <= F.col("n_words")))).alias("w"), "pos",
     )
     listed = possible.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct((F.col("pos") - F.col("w.at") + 1).alias("start"), "w.length", "w.window", "w.items")).alias("candidates"))
-    joined = texts.join(listed, ["doc_id", "text_hash"], "left")
+    # Texts are shuffled as they are: arrays of words would be several times as large.
+    joined = whole.join(listed, ["doc_id", "text_hash"], "left").select("doc_id", "candidates", words(F.col("text")).alias("words"))
     found = F.filter("candidates", lambda c: F.slice("words", c["start"], c["length"]) == c["window"])
     hits = joined.select("doc_id", F.size("words").cast("long").alias("n_words"), F.coalesce(found, F.filter("candidates", lambda c: F.lit(False))).alias("found"))
     places = F.array_distinct(F.flatten(F.transform("found", lambda c: F.sequence(c["start"], c["start"] + c["length"] - 1))))
