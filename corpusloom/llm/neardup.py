@@ -113,10 +113,13 @@ def promising(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, perc
     twice = both[:, 1:] == both[:, :-1]
     real = both[:, :-1] != np.iinfo(np.uint64).max
     distinct = np.cumsum(np.concatenate([np.ones((len(both), 1), bool), ~twice], 1), 1)[:, :-1]
-    common = (twice & real & (distinct <= KEPT)).sum(1)
+    twice &= real
+    common = (twice & (distinct <= KEPT)).sum(1)
     whole = (na <= KEPT) & (nb <= KEPT)
     low, high = np.minimum(na, nb), np.maximum(na, nb)
-    exact = 100 * common >= percent * (na + nb - common)
+    # Sets held whole are compared whole, also where their union has more values than a sketch.
+    shared = twice.sum(1)
+    exact = 100 * shared >= percent * (na + nb - shared)
     return (100 * low >= percent * high) & np.where(whole, exact, common >= np.minimum(least_overlap(KEPT, percent), 0.8 * low))
 
 

@@ -139,6 +139,19 @@ def test_long_lists_without_links_and_chains(spark):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == _components(rows, 3, 85)
 
 
+@pytest.mark.parametrize("words, percent", [(3, 85), (5, 80)])
+def test_pairs_of_short_texts(spark, words, percent):
+    """Sets that a sketch holds whole, with unions that it does not: one word in the middle, or the last one, replaced."""
+    rows = []
+    for n in range(57, 71):
+        for k in range(6):
+            text = [f"t{n}x{k}x{j}" for j in range(n)]
+            for other in (text, text[: n // 2] + ["other"] + text[n // 2 + 1 :] if k < 4 else text[:-1] + ["other"]):
+                rows.append((len(rows), " ".join(other), "en"))
+    got = neardup.near_duplicates(_odd(spark, rows), words, percent).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == _components(rows, words, percent)
+
+
 def _hits(docs, items, size=8):
     cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
     out = []
