@@ -35,7 +35,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents without a letter, and those of which two languages are equally likely."""
+    """Drops the documents without a letter, and those of which two languages are about equally likely."""
     contents = langid.dictionaries(docs)
     if not contents:
         return docs

@@ -24,6 +24,8 @@ _LETTER = re.compile(r"[^\W\d_]")
 #: ASCII bytes that are not letters become spaces, so that only words are compared.
 _WORDS = bytes(b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 MAX_LANGUAGES = 400
+#: Bytes that the best language must save on the next, for each square root of the text's bytes: differences by chance grow with that.
+NARROW = 0.4
 
 
 def plain(text: str) -> bytes:
@@ -84,7 +86,7 @@ class Compressors:
         return [len(c.compress(data)) for c in (self._thorough if len(data) <= self.SHORT else self._quick)]
 
 
-def verdict(sizes: list[int], languages: list[str], narrow: int) -> tuple[str, float, bool]:
+def verdict(sizes: list[int], languages: list[str], narrow: float) -> tuple[str, float, bool]:
     """(language, score, rejected): a byte saved on another language is 8 bits of evidence, tempered by 4."""
     order = np.argsort(np.array(sizes), kind="stable")
     best = sizes[order[0]]
@@ -93,12 +95,13 @@ def verdict(sizes: list[int], languages: list[str], narrow: int) -> tuple[str, f
     return languages[order[0]], score, margin < narrow
 
 
-def identify(docs: DataFrame, contents: dict[str, bytes], narrow: int = 1, keep: list[str] | None = None) -> DataFrame:
+def identify(docs: DataFrame, contents: dict[str, bytes], narrow: float = NARROW, keep: list[str] | None = None) -> DataFrame:
     """Adds ``lang_pred``, ``score`` and ``rejected`` to ``docs`` (columns ``keep``, by default doc_id), for every row, from its whole text.
 
     Null texts and texts without a letter are ``und`` with score 0, and are
     rejected.  ``rejected`` is also true where the best two languages differ by
-    less than ``narrow`` bytes (1: only ties); ties go to the language with more documents.
+    less than ``narrow`` bytes for each square root of the text's bytes, or not at
+    all; ties go to the language with more documents.  A single language has no rival.
     Without any language everything is ``und``.  If ``keep`` has columns of
     these names, the added ones end in an underscore.
     """
@@ -115,7 +118,8 @@ def identify(docs: DataFrame, contents: dict[str, bytes], narrow: int = 1, keep:
                 if compressors is None or text is None or not _LETTER.search(text):
                     rows.append(("und", 0.0, True))
                 else:
-                    rows.append(verdict(compressors.sizes(plain(text)), compressors.languages, narrow))
+                    data = plain(text)
+                    rows.append(verdict(compressors.sizes(data), compressors.languages, max(1, narrow * math.sqrt(len(data)))))
             langs, scores, rejected = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())], names=[*names, *added])
 

@@ -82,6 +82,20 @@ def test_language_of_odd_rows(spark):
     assert langid.dictionaries(_odd(spark).limit(0)) == {}
 
 
+def test_language_of_no_learned_language(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    contents = langid.dictionaries(docs)
+    rng = np.random.default_rng(5)
+    word = lambda: "".join(map(chr, rng.integers(97, 123, rng.integers(2, 10))))
+    made = [(i, " ".join(word() for _ in range(n)), "en") for i, n in enumerate([150] * 60 + [750] * 60 + [3000] * 20)]
+    got = langid.identify(_odd(spark, made), contents).collect()
+    assert sum(r.rejected for r in got) >= 0.95 * len(got)
+    clean = spark.read.parquet(f"{SF}/labels.parquet").filter("quality = 1").select("doc_id").distinct()
+    judged = langid.identify(docs.join(clean, "doc_id", "left_semi"), contents).collect()
+    # Some of them are half in one language and half in another.
+    assert len(judged) > 50 and sum(r.rejected for r in judged) <= 0.02 * len(judged)
+
+
 def _sets(rows, words):
     out = []
     for i, text, *_ in rows:
