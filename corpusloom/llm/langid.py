@@ -67,9 +67,13 @@ def dictionaries(docs: DataFrame, size: int = 32_768, sample: int = 120) -> dict
 
 
 class Compressors:
-    """A compressor for each language; matches of three bytes count, and short texts are searched more thoroughly."""
+    """A compressor for each language; matches of three bytes count, and short texts are searched more thoroughly.
 
-    SHORT = 2048
+    Long texts are compressed in chunks, each against the dictionary alone: a
+    text's own history would take the dictionary's place, and its head decide.
+    """
+
+    SHORT, CHUNK = 2048, 16_384
 
     def __init__(self, contents: dict[str, bytes]):
         import zstandard as z
@@ -83,7 +87,9 @@ class Compressors:
                 into.append(z.ZstdCompressor(dict_data=content, compression_params=how))
 
     def sizes(self, data: bytes) -> list[int]:
-        return [len(c.compress(data)) for c in (self._thorough if len(data) <= self.SHORT else self._quick)]
+        chosen = self._thorough if len(data) <= self.SHORT else self._quick
+        chunks = [data[k : k + self.CHUNK] for k in range(0, len(data), self.CHUNK)] or [data]
+        return [sum(len(c.compress(chunk)) for chunk in chunks) for c in chosen]
 
 
 def verdict(sizes: list[int], languages: list[str], narrow: float) -> tuple[str, float, bool]:

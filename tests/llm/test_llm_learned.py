@@ -82,6 +82,18 @@ def test_language_of_odd_rows(spark):
     assert langid.dictionaries(_odd(spark).limit(0)) == {}
 
 
+def test_language_of_long_mixed_texts(spark):
+    contents = langid.dictionaries(spark.read.parquet(f"{SF}/documents.parquet"))
+    texts = {}
+    for i, text, lang in sorted(_tables(), key=repr):
+        if text and lang in contents and not _held(i):
+            texts[lang] = texts.get(lang, "") + " " + text
+    pairs = [(a, b) for a in sorted(texts) for b in sorted(texts) if a != b]
+    made = [(k, texts[a][:20_000] + " " + (texts[b] * 9)[20_000:200_000], "en") for k, (a, b) in enumerate(pairs)]
+    got = {r.doc_id: r.lang_pred for r in langid.identify(_odd(spark, made), contents).collect()}
+    assert [got[k] for k in range(len(pairs))] == [b for _, b in pairs]
+
+
 def test_language_of_no_learned_language(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     contents = langid.dictionaries(docs)
