@@ -92,11 +92,21 @@ _EDGES = "edges AS (SELECT p.page_id AS url, (7 * p.page_id + j) % (SELECT count
 reached AS (SELECT CAST(0 AS BIGINT) AS url, CAST(0 AS BIGINT) AS depth UNION SELECT e.link, r.depth + 1 FROM reached r JOIN edges e ON e.url = r.url WHERE r.depth < {LEVELS})
 SELECT url, min(depth) AS depth FROM reached GROUP BY url""")
 def crawl_bfs_depth(spark: SparkSession, folder: str) -> DataFrame:
-    """Least depth of the pages that are reached over a derived link graph."""
+    """Least depth of the pages that are reached over a derived link graph within LEVELS levels, as its SQL has it."""
+    return _derived_crawl(spark, folder, LEVELS)
+
+
+@query()
+def crawl_bfs_whole(spark: SparkSession, folder: str) -> DataFrame:
+    """Least depth of all pages that are reached over a derived link graph: until a level brings nothing new."""
+    return _derived_crawl(spark, folder, None)
+
+
+def _derived_crawl(spark: SparkSession, folder: str, levels: int | None) -> DataFrame:
     pages = _pages(spark, folder)
     n = pages.count()
     edges = pages.select(F.col("page_id").alias("url"), F.explode(F.array(*(F.lit(j).cast("long") for j in (1, 2, 3)))).alias("j")).select("url", ((7 * F.col("url") + F.col("j")) % n).alias("link"))
-    return crawl.crawl_levels(spark.range(1).select(F.col("id").alias("url")), edges, LEVELS)
+    return crawl.crawl_levels(spark.range(1).select(F.col("id").alias("url")), edges, levels)
 
 
 @query(f"""WITH {_LINKS}, one AS (SELECT unnest(links) AS url FROM resolved WHERE url IS NOT NULL),

@@ -326,6 +326,20 @@ def test_crawl(spark):
     assert crawl.bootstrapped(seeds, pages).count() == 1
 
 
+def test_crawl_without_a_limit(spark):
+    from corpusloom.plans import registry
+
+    folder = "/root/testdata/sf0.001"
+    ids = [r.page_id for r in spark.read.parquet(f"{folder}/pages.parquet").select("page_id").collect()]
+    depths, level = {0: 0}, [0]
+    while level:
+        found = {(7 * u + j) % len(ids) for u in level if u in ids for j in (1, 2, 3)} - depths.keys()
+        depths |= dict.fromkeys(found, depths[level[0]] + 1)
+        level = sorted(found)
+    got = {r.url: r.depth for r in registry.QUERIES["crawl_bfs_whole"](spark, folder).collect()}
+    assert got == depths and len(got) == len(ids)
+
+
 def test_configuration():
     with pytest.raises(ValueError):
         CrawlConfig(queue=10)
