@@ -30,9 +30,12 @@ def bloom_positions(spark: SparkSession, folder: str) -> DataFrame:
 asked AS (SELECT url, unnest(list_distinct(positions)) AS bit FROM (SELECT DISTINCT url, positions FROM placed))
 SELECT a.url, count(h.bit) = count(*) AS maybe FROM asked a LEFT JOIN held h ON a.bit = h.bit GROUP BY a.url""")
 def bloom_contains(spark: SparkSession, folder: str) -> DataFrame:
-    """All urls against a set of the even pages'."""
+    """All urls against a set of the even pages': of BITS bits as its SQL has it, or as many more as the counted urls need."""
     pages = _pages(spark, folder)
-    return bloomset.contains(pages, "url", bloomset.add_all(pages.filter("page_id % 2 = 0"), "url", BITS, HASHES), BITS, HASHES)
+    even = pages.filter("page_id % 2 = 0")
+    n = even.select("url").distinct().count()
+    bits = max(BITS, bloom.size(bloom.for_rate(2.0**-HASHES, n)[0], n, saturate=True))
+    return bloomset.contains(pages, "url", bloomset.add_all(even, "url", bits, HASHES), bits, HASHES)
 
 
 @query(f"SELECT count(*) AS n, round(pow(1 - exp(-{HASHES} * count(*) / CAST({BITS} AS DOUBLE)), {HASHES}), 9) AS rate FROM pages WHERE url IS NOT NULL")

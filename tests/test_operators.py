@@ -340,6 +340,16 @@ def test_crawl_without_a_limit(spark):
     assert got == depths and len(got) == len(ids)
 
 
+def test_bloom_query_on_many_urls(spark, tmp_path):
+    from corpusloom.plans import registry
+
+    spark.range(60_000).selectExpr("id AS page_id", "concat('http://h/', id) AS url").write.parquet(f"{tmp_path}/pages.parquet")
+    got = registry.QUERIES["bloom_contains"](spark, str(tmp_path)).collect()
+    odd = [r.maybe for r in got if int(r.url[9:]) % 2]
+    assert len(got) == 60_000 and all(r.maybe for r in got if int(r.url[9:]) % 2 == 0)
+    assert sum(odd) <= 0.001 * len(odd)
+
+
 def test_configuration():
     with pytest.raises(ValueError):
         CrawlConfig(queue=10)
