@@ -46,12 +46,16 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near-duplicates: five-word shingles, similarity 0.8.
 
-    Rows of one id are kept or dropped together, but for exact repetitions, of which one stays.
+    Of exact repetitions of a row one stays.  Rows of one id are judged each by
+    its text.  A group stays with its smallest id; one without any id with the
+    rows of one of its texts.  Documents without words stay.
     """
-    kept = neardup.near_duplicates(docs, words=5, percent=80).filter("kept").select("doc_id")
-    (row,) = unused(["row"], docs.columns)
+    first = neardup.classes(docs, words=5, percent=80).filter("first").select("doc_id", "text_hash").distinct()
+    row, hashed, own = unused(["row", "hashed", "own"], docs.columns)
+    marked = docs.withColumn(hashed, F.xxhash64("text"))
+    kept = marked.join(first.withColumnsRenamed({"doc_id": own, "text_hash": row}), F.col("doc_id").eqNullSafe(F.col(own)) & (F.col(hashed) == F.col(row)), "left_semi")
     digest = F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))
-    return _columns(docs.join(kept, "doc_id", "left_semi").withColumn(row, digest).dropDuplicates(["doc_id", row]), docs)
+    return _columns(kept.withColumn(row, digest).dropDuplicates(["doc_id", row]), docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
