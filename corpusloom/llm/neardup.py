@@ -38,7 +38,7 @@ LISTED, KEPT = 32, 128
 #: Probability of missing a pair of exactly the least similarity, at most, in either step.
 MISS = 1e-9
 #: Rows of a block of a long list, and values of a block of a large group.
-BLOCK, GROUP_VALUES = 256, 500_000
+BLOCK, GROUP_VALUES = 1024, 500_000
 #: Ids up to which the verification broadcasts them (8 bytes each) to choose its texts.
 BROADCAST_IDS = 200_000
 
@@ -292,34 +292,47 @@ def _by_group(keys: tuple[str, ...], solve: Callable) -> Callable:
 
 
 def _across(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Promising pairs (a, b) of one list, of other components and of other groups; ``nodes(node, label, center, part, n, own, sketch)``."""
+    """Promising pairs (a, b) of one list, of other components and of other groups; ``nodes(node, label, center, part, n, own, sketch)``.
+
+    Most of a list are often of one component, and are compared with the others only.  Blocks bound what a task holds.
+    """
     labelled = lists.join(nodes.select("node", "label", "center", "part"), "node")
-    least = lambda c: F.min(c) != F.max(c)
-    split = labelled.groupBy("value").agg(least("label").alias("labels"), (least("center") | least("part")).alias("groups"), F.count("*").alias("m")).filter("labels AND groups")
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks.cast("long")).cast("int")
-    placed = lists.join(split.select("value", "m"), "value").select("value", "node", own.alias("block"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-    rows = placed.join(nodes, "node").select("value", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "label", "center", "part", "n", "own", "sketch")
-    rows = rows.repartition("value", "i", "j").sortWithinPartitions("value", "i", "j", "n", "node")
+    each = labelled.groupBy("value", "label").agg(F.count("*").alias("c"), *(f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("center", "part")))
+    differ = (F.min("min_center") != F.max("max_center")) | (F.min("min_part") != F.max("max_part"))
+    split = each.groupBy("value").agg(F.max(F.struct("c", "label")).alias("main"), F.sum("c").alias("m"), F.count("*").alias("labels"), differ.alias("differ")).filter("labels > 1 AND differ")
+    sizes = split.select("value", F.col("main.label").alias("main"), F.ceil(F.col("main.c") / BLOCK).cast("int").alias("mains"), F.ceil((F.col("m") - F.col("main.c")) / BLOCK).cast("int").alias("others"))
+    placed = lists.join(sizes, "value").join(nodes, "node")
+    other = F.col("label") != F.col("main")
+    block = F.pmod(F.xxhash64("node"), F.when(other, F.col("others")).otherwise(F.col("mains")).cast("long")).cast("int")
+    spot = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
+    upto = lambda n, f: F.transform(F.sequence(F.lit(0), F.col(n) - 1), f)
+    with_others = upto("others", lambda k: spot(0, F.least(k, "block"), F.greatest(k, "block")))
+    spots = F.when(other, F.concat(with_others, upto("mains", lambda k: spot(1, k, F.col("block"))))).otherwise(upto("others", lambda k: spot(1, F.col("block"), k)))
+    rows = placed.withColumn("block", block).withColumn("other", other).select("value", F.explode(spots).alias("s"), "block", "other", "node", "label", "center", "part", "n", "own", "sketch")
+    rows = rows.select("value", "s.kind", "s.i", "s.j", *(c for c in rows.columns if c not in ("value", "s")))
+    rows = rows.repartition("value", "kind", "i", "j").sortWithinPartitions("value", "kind", "i", "j", "n", "node")
     share = (100 - percent) / (100 + percent)
 
     def solve(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         group = pa.Table.from_batches(rows).combine_chunks()
-        block, label, center, part, n, own, node = (group.column(c).to_numpy() for c in ("block", "label", "center", "part", "n", "own", "node"))
-        apart = group.column("i")[0].as_py() != group.column("j")[0].as_py()
-        p, q = np.triu_indices(len(n), 1)
-        use = (label[p] != label[q]) & ((center[p] != center[q]) | (part[p] != part[q])) & (100 * n[p] >= percent * n[q])
-        # Pairs within a block belong to the group (i, i).  Values that no other set has are in one set of two only.
-        use &= (own[p] + own[q] <= share * (n[p] + n[q]) + 1e-6) & ((block[p] != block[q]) | (not apart))
-        p, q = p[use], q[use]
-        if len(p):
-            sketch = _padded(group.column("sketch").combine_chunks())
-            good = np.concatenate([promising(sketch[p[k : k + 4096]], sketch[q[k : k + 4096]], n[p[k : k + 4096]], n[q[k : k + 4096]], percent) for k in range(0, len(p), 4096)])
-            p, q = p[good], q[good]
-        a, b = np.minimum(node[p], node[q]), np.maximum(node[p], node[q])
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
-    return rows.mapInArrow(_by_group(("value", "i", "j"), solve), "a long, b long").distinct()
+        kind, i, j = (group.column(c)[0].as_py() for c in ("kind", "i", "j"))
+        block, other, label, center, part, n, own, node = (group.column(c).to_numpy() for c in ("block", "other", "label", "center", "part", "n", "own", "node"))
+        sketch, found = None, []
+        for at in range(0, len(n), 128):
+            p, q = (x.ravel() for x in np.meshgrid(np.arange(at, min(at + 128, len(n))), np.arange(at + 1, len(n)), indexing="ij"))
+            use = (p < q) & (label[p] != label[q]) & ((center[p] != center[q]) | (part[p] != part[q])) & (100 * n[p] >= percent * n[q])
+            # Values that no other set has are in one set of two only.  Pairs within a block belong to the spot (i, i).
+            use &= (own[p] + own[q] <= share * (n[p] + n[q]) + 1e-6) & (other[p] != other[q] if kind else (i == j) | (block[p] != block[q]))
+            p, q = p[use], q[use]
+            for k in range(0, len(p), 4096):
+                sketch = _padded(group.column("sketch").combine_chunks()) if sketch is None else sketch
+                x, y = p[k : k + 4096], q[k : k + 4096]
+                good = promising(sketch[x], sketch[y], n[x], n[y], percent)
+                found.append((node[x[good]], node[y[good]]))
+        a, b = (np.concatenate([np.empty(0, np.int64), *x]) for x in zip(*found, strict=True)) if found else (np.empty(0, np.int64),) * 2
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    return rows.mapInArrow(_by_group(("value", "kind", "i", "j"), solve), "a long, b long").distinct()
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

@@ -165,6 +165,26 @@ def test_long_lists_without_links_and_chains(spark):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == _components(rows, 3, 85)
 
 
+def test_near_copies_in_small_blocks(spark, monkeypatch):
+    """Groups and lists that fall into many blocks; copies under one id, and copies without an id."""
+    monkeypatch.setattr(neardup, "BLOCK", 3)
+    monkeypatch.setattr(neardup, "GROUP_VALUES", 400)
+    rng = np.random.default_rng(2)
+    rows = []
+    for g in range(3):
+        base = [f"g{g}x{j}" for j in range(100)]
+        for k in range(40):
+            text = list(base)
+            for at in rng.integers(0, 100, rng.integers(1, 12)):
+                text[at] = f"e{rng.integers(0, 60)}"
+            rows.append((len(rows), " ".join(text), "en"))
+        rows += [(1, rows[-1][1], "en")] * 30 + [(2, " ".join(base), "en")] * 20 + [(None, " ".join([*base[:50], "here", *base[51:]]), "en")] * 2
+    got = neardup.near_duplicates(_odd(spark, rows), 3, 85).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == _components(rows, 3, 85)
+    first = neardup.classes(_odd(spark, [(None, t, "en") for _, t, _ in rows]), 3, 85).filter("first").count()
+    assert 0 < first < len(rows)
+
+
 @pytest.mark.parametrize("words, percent", [(3, 85), (5, 80)])
 def test_pairs_of_short_texts(spark, words, percent):
     """Sets that a sketch holds whole, with unions that it does not: one word in the middle, or the last one, replaced."""
