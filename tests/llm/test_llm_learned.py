@@ -219,13 +219,32 @@ def _hits(docs, items, size=8):
 def test_decontamination_of_odd_rows(spark):
     items = [(1, "two three four"), (10, "One two three four five six seven eight nine"), (2, None), (3, ""), (10, "word")]
     benchmark = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, doc_id string")
-    docs = [r for r in ODD if r[0] != 6] + [(9, "two-three.four! two three four ß", "en"), (9, "other", "en")]
+    docs = [r for r in ODD if r[0] != 6] + [(9, "two-three.four! two three four ß", "en"), (9, "other", "en"), (None, "word two three four", "en"), (None, "x", "en")]
     got = decontam.decontaminate(_odd(spark, docs), benchmark).collect()
     assert sorted(((r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256) for r in got), key=repr) == _hits(docs, items)
     assert all(r.n_hit == 0 for r in decontam.decontaminate(_odd(spark), benchmark.limit(0)).collect())
     assert decontam.decontaminate(_odd(spark).limit(0), benchmark).count() == 0
 
 
+def test_decontamination_by_shuffle_and_with_columns(spark, monkeypatch):
+    docs = [r for r in ODD if r[0] != 6]
+    benchmark = spark.createDataFrame([(1, "two three four"), (10, "One two three four five six seven eight nine")], "item_id long, text string")
+    wanted = {(r.doc_id, r.n_words, r.n_hit) for r in decontam.decontaminate(_odd(spark, docs), benchmark).collect()}
+    monkeypatch.setattr(decontam, "BROADCAST_BYTES", 0)
+    odd = _odd(spark, docs).withColumnRenamed("label", "n_words").withColumnRenamed("words", "row")
+    kept = decontam.decontaminate(odd, benchmark, keep=odd.columns)
+    assert kept.columns == [*odd.columns, "n_words_", "n_hit", "n_items", "items_sha256", "contaminated"]
+    rows = kept.collect()
+    assert len(rows) == len(docs) and {(r.doc_id, r.n_words_, r.n_hit) for r in rows} == wanted
+
+
+def test_decontamination_cuts_words_once_a_text(spark):
+    docs, benchmark = (spark.read.parquet(f"{SF}/{name}.parquet") for name in ("documents", "benchmark"))
+    judged = decontam.decontaminate(docs, benchmark, keep=docs.columns)
+    plan = judged.filter(~judged.contaminated).select("doc_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "slice(lambda" in plan and "slice(array_remove" not in plan
+
+
 def test_scores(spark):
     docs = _tables()
     held = {i: _held(i, 5, 1) for i, _, _ in docs}
