@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import bpe, decontam, langid, neardup, quality
-from corpusloom.llm.shared import cut_lineage, unused
+from corpusloom.llm.shared import unused
 
 #: No SQL: trees, compression and byte-pair encoding have none; the tests hold each stage against its brute-force version.
 ORACLE_SQL = None
@@ -59,12 +59,11 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that hold a window of a benchmark item; rows of one id are dropped together."""
+    """Drops the rows whose text holds a window of a benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    judged = decontam.decontaminate(docs, benchmark, size=8, least=1).select("doc_id", "contaminated")
-    # Cut off, or the filter would be moved below the cutting of words, which would then be done for every candidate.
-    leaking = cut_lineage(judged).filter("contaminated").select("doc_id")
-    return _columns(docs.join(leaking, "doc_id", "left_anti"), docs)
+    (*_, contaminated) = unused(["n_words", "n_hit", "n_items", "items_sha256", "contaminated"], docs.columns)
+    judged = decontam.decontaminate(docs, benchmark, size=8, least=1, keep=docs.columns)
+    return _columns(judged.filter(~F.col(contaminated)), docs)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
