@@ -44,7 +44,7 @@ END, START = 2, 4
 #: tables of the parent; types seen once and twice; words with one and with two customers in the parent.
 SUMS, PARENT, ONCE_TWICE, PARENT_ONCE_TWICE = TOTALS = 8, 16, 24, 32
 #: Occurrences that a group is meant to hold, those of a block of documents, and the least share that makes a context a hot one.
-GROUP_TOKENS, BLOCK_TOKENS, LEAST_SHARE = 1_000_000, 2_000_000, 1 / 20_000
+GROUP_TOKENS, BLOCK_TOKENS, LEAST_SHARE = 1_500_000, 2_000_000, 1 / 20_000
 #: Customers whose tables are weighed by Stirling numbers; for those beyond the sums have a closed form.
 EXACT = 512
 #: Sweeps, of which the last ones are averaged.
@@ -99,6 +99,15 @@ def _stirling(d: float) -> np.ndarray:
     return s
 
 
+def _spread(x: np.ndarray) -> np.ndarray:
+    """Sorted hashes as differences, by bytes of one place: the highest bytes are mostly zero."""
+    return np.ascontiguousarray(np.diff(x, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T).ravel()
+
+
+def _gathered(x: np.ndarray) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(x.reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
 def _chance(h: np.ndarray, salt: int) -> np.ndarray:
     """A number from 0 to 1 for each hash."""
     return (_mixed(h ^ np.uint64((salt * 0x9E3779B97F4A7C15) % (1 << 64))) >> np.uint64(11)).astype(np.float64) * 2.0**-53
@@ -169,7 +178,7 @@ def _occurrences(docs: DataFrame, held_out_of: int, groups: int, hot: list[int])
                 o = order[borders[p] : borders[p + 1]]
                 used, places = np.unique(np.concatenate([context[o], word[o]]), return_inverse=True)
                 rows, per = np.unique(doc[o], return_counts=True)
-                out.append((p, p, "O", _pack(hashes=known[used], c=_small(places[: len(o)]), w=_small(places[len(o) :]), first=np.array([first]), steps=_small(np.diff(rows, prepend=np.uint32(0))), train=learned[rows], per=_small(per))))
+                out.append((p, p, "O", _pack(hashes=_spread(known[used]), c=_small(places[: len(o)]), w=_small(places[len(o) :]), first=np.array([first]), steps=_small(np.diff(rows, prepend=np.uint32(0))), train=learned[rows], per=_small(per))))
             return _batch(out)
 
         parts, ids, train, size, first = [], [], [], 0, row
@@ -215,9 +224,10 @@ class _Group:
     def __init__(self, table: pa.Table, heavy: np.ndarray, groups: int):
         parts = [_unpack(b.as_py()) for k, b in zip(table.column("kind").to_pylist(), table.column("blob"), strict=True) if k == "O"]
         merged = lambda name, kind: np.concatenate([np.empty(0, kind), *(x[name] for x in parts)]).astype(kind)
-        self.hashes = np.unique(merged("hashes", np.uint64))
+        known = [_gathered(x["hashes"]) for x in parts]
+        self.hashes = np.unique(np.concatenate([np.empty(0, np.uint64), *known]))
         n = np.int64(max(1, len(self.hashes)))
-        place = [np.searchsorted(self.hashes, x["hashes"]) for x in parts]
+        place = [np.searchsorted(self.hashes, x) for x in known]
         keys = np.concatenate([np.empty(0, np.int64), *(m[x["c"]] * n + m[x["w"]] for m, x in zip(place, parts, strict=True))])
         types, type_of = np.unique(keys, return_inverse=True)
         self.type_of = type_of.astype(np.int32)
@@ -276,14 +286,14 @@ def _begin(key: tuple, table: pa.Table, groups: int, heavy: np.ndarray) -> pa.Ta
     varies[group.entry_of_context[group.entry_of_context >= 0]] = True
     varies[group.totals] = True
     place = np.cumsum(varies) - 1
-    out = [(q, p, "W", _pack(words=group.entries[s], c=_small(c[s]), m=_small(m[s]), varies=varies[s])) for q, s in _by_home(group.homes)]
+    out = [(q, p, "W", _pack(words=_spread(group.entries[s]), c=_small(c[s]), m=_small(m[s]), varies=varies[s])) for q, s in _by_home(group.homes)]
     contexts, spot = np.unique(group.context[several], return_inverse=True)
     once = np.where(group.count == 1, 1, 0)
     hot = group.entry_of_context[contexts]
     fixed = group.summed(once)
     fixed[group.totals[2]] = m[group.totals[2]]
     out.append((p, p, "T", _pack(
-        h=group.hash_of_types()[several], c=_small(group.count[several]), w=_small(place[group.entry_of_word[group.word[several]]]), u=_small(spot),
+        h=(group.hash_of_types()[several] >> np.uint64(32)).astype(np.uint32), c=_small(group.count[several]), w=_small(place[group.entry_of_word[group.word[several]]]), u=_small(spot),
         alone=_small(np.bincount(group.context, once, len(group.hashes)).astype(np.int64)[contexts]), hot=np.where(hot >= 0, place[hot], -1), fixed=fixed[varies], counts=c[varies],
         homes=_small(group.homes[varies]), totals=place[group.totals],
     )))
@@ -297,8 +307,9 @@ def _at_home(key: tuple, begun: pa.Table, sent: pa.Table | None, sweep: int) ->
     out = [(q, q, "T", b.as_py()) for k, b in zip(sent.column("kind").to_pylist(), sent.column("blob"), strict=True) if k == "T"] if sent is not None else []
     if not asked:
         return pa.Table.from_batches([_batch(out)])
-    words = np.unique(np.concatenate([x["words"] for x in asked.values()]))
-    places = {p: np.searchsorted(words, x["words"]) for p, x in asked.items()}
+    named = {p: _gathered(x["words"]) for p, x in asked.items()}
+    words = np.unique(np.concatenate(list(named.values())))
+    places = {p: np.searchsorted(words, x) for p, x in named.items()}
     c, m = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
     for p, x in asked.items():
         own_c, own_m = x["c"].astype(np.int64), x["m"].astype(np.int64)
@@ -353,7 +364,7 @@ def _in_group(key: tuple, begun: pa.Table, sent: pa.Table, sweep: int) -> pa.Tab
     t = held.get("t", np.ones(len(count), np.int64)).astype(np.int64)
     there = np.bincount(x["u"], t, len(x["alone"])) + x["alone"]
     there = np.where(x["hot"] >= 0, m[x["hot"]], there) if len(there) else there
-    t = seat(count, np.maximum(there[x["u"]] - t, 0), p0[x["w"]], STRENGTH, d, x["h"], sweep)
+    t = seat(count, np.maximum(there[x["u"]] - t, 0), p0[x["w"]], STRENGTH, d, x["h"].astype(np.uint64), sweep)
     now = x["fixed"] + np.bincount(x["w"], t, len(m)).astype(np.int64)
     is_hot = x["hot"][x["u"]] >= 0
     now += np.bincount(x["hot"][x["u"]][is_hot], t[is_hot], len(m)).astype(np.int64)
