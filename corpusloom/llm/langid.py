@@ -1,6 +1,6 @@
 """Language identification by compression (operator 7).
 
-For each language a zstandard raw-content dictionary holds whole texts in it.  A
+For each language a zstandard raw-content dictionary holds passages in it.  A
 text is compressed with every dictionary; the smallest result names the
 language.  A narrow margin to the next language is reported as a rejection.
 """
@@ -23,7 +23,8 @@ from corpusloom.llm.shared import unused
 _LETTER = re.compile(r"[^\W\d_]")
 #: ASCII bytes that are not letters become spaces, so that only words are compared.
 _WORDS = bytes(b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
-MAX_LANGUAGES = 400
+#: Bytes of a passage of a dictionary.
+PASSAGE = 1024
 #: Bytes that the best language must save on the next, for each square root of the text's bytes: differences by chance grow with that.
 NARROW = 0.4
 
@@ -32,64 +33,82 @@ def plain(text: str) -> bytes:
     return b" ".join(text.encode().translate(_WORDS).split())
 
 
-def dictionaries(docs: DataFrame, size: int = 32_768, sample: int = 120) -> dict[str, bytes]:
-    """For each language the words of sampled whole texts, about ``size`` bytes.
+def _passage(text: str, draw: int) -> bytes:
+    """At most PASSAGE bytes of whole words, from a place that ``draw`` chooses."""
+    data = plain(text)
+    if len(data) <= PASSAGE:
+        return data
+    start = draw % (len(data) - PASSAGE)
+    part = data[start : start + PASSAGE + 1]
+    if start and data[start - 1 : start] != b" ":
+        part = part.partition(b" ")[2]
+    return part.rpartition(b" ")[0] or data[start : start + PASSAGE]
+
+
+def dictionaries(docs: DataFrame, size: int = 32_768, sample: int = 120, languages: int = 400) -> dict[str, bytes]:
+    """For each of the ``languages`` most frequent languages passages of sampled texts, at most ``size`` bytes.
 
     Only rows outside the held-out quarter with text and language are used.
-    Their hashes choose about ``sample`` (at least half, at most twice as many,
-    where there are so many) of each language, with a rate that follows from the
-    language's count over all documents.  At most MAX_LANGUAGES languages.
+    The hashes of their texts choose about ``sample`` different texts of each
+    language, with a rate that follows from how many it has over all documents;
+    of each a passage is cut out where it lies, and only passages come to the
+    driver.  Of equally frequent languages the first by name are taken.
     """
-    usable = docs.filter((remainder() != 2) & F.col("text").isNotNull() & F.col("lang").isNotNull())
-    counts = {r.lang: r.n for r in usable.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()}
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    hashed = F.xxhash64("text", F.lit("sample"))
+    usable = docs.filter((remainder() != 2) & F.col("text").isNotNull() & F.col("lang").isNotNull()).select("lang", "text", hashed.alias("hash"))
+    counted = usable.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("hash").alias("texts"))
+    counts = {r.lang: r for r in counted.orderBy(F.desc("n"), "lang").limit(languages).collect()}
     if not counts:
         return {}
     steps = 1 << 30
-    draw = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(steps))
+    draw = F.pmod("hash", F.lit(steps))
     rate = F.lit(0)
-    for lang, n in counts.items():
-        rate = F.when(F.col("lang") == lang, F.lit(min(steps, math.ceil(steps * sample / n)))).otherwise(rate)
+    for lang, r in counts.items():
+        rate = F.when(F.col("lang") == lang, F.lit(min(steps, math.ceil(steps * sample / max(1, r.texts))))).otherwise(rate)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_passage(t, d) if _LETTER.search(t) else b"" for t, d in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.binary())], names=["lang", "draw", "passage"])
+
+    chosen = usable.filter(draw < rate).select("lang", "text", draw.alias("draw")).mapInArrow(cut, "lang string, draw long, passage binary")
+    # Copies of a text count once.
+    rows = chosen.filter(F.octet_length("passage") > 0).groupBy("lang", "draw").agg(F.min("passage").alias("passage")).collect()
     picked: dict[str, list] = {}
-    for r in usable.filter(draw < rate).select("lang", "doc_id", draw.alias("draw"), "text").limit(2 * sample * len(counts)).collect():
-        picked.setdefault(r.lang, []).append((r.draw, r.doc_id, r.text))
-    made = {}
-    for lang in sorted(picked, key=lambda x: (-counts[x], x)):
-        parts, left = [], size
-        for _, _, text in sorted(picked[lang]):
-            if _LETTER.search(text) and left > 0:
-                parts.append(plain(text))
-                left -= len(parts[-1])
-        if parts:
-            made[lang] = b" ".join(reversed(parts))
-    return made
+    for r in sorted(rows, key=lambda r: (r.draw, r.passage)):
+        picked.setdefault(r.lang, []).append(bytes(r.passage))
+    return {lang: _filled(picked[lang], size) for lang in counts if lang in picked}
+
+
+def _filled(passages: list[bytes], size: int) -> bytes:
+    """The first passages that fit into ``size``, at least a part of one."""
+    parts, left = [], size
+    for p in passages:
+        if len(p) + 1 <= left:
+            parts.append(p)
+            left -= len(p) + 1
+    return b" ".join(reversed(parts)) or passages[0][:size]
 
 
 class Compressors:
-    """A compressor for each language; matches of three bytes count, and short texts are searched more thoroughly.
+    """A compressor for each language; matches of three bytes count.
 
     Long texts are compressed in chunks, each against the dictionary alone: a
     text's own history would take the dictionary's place, and its head decide.
     """
 
-    SHORT, CHUNK = 2048, 16_384
+    CHUNK = 16_384
 
     def __init__(self, contents: dict[str, bytes]):
         import zstandard as z
 
         self.languages = list(contents)
-        self._quick, self._thorough = [], []
-        for lang in self.languages:
-            content = z.ZstdCompressionDict(contents[lang], dict_type=z.DICT_TYPE_RAWCONTENT)
-            for into, strategy in ((self._quick, z.STRATEGY_GREEDY), (self._thorough, z.STRATEGY_BTLAZY2)):
-                how = z.ZstdCompressionParameters(window_log=18, chain_log=17, hash_log=17, search_log=5, min_match=3, target_length=64, strategy=strategy, write_content_size=0, write_checksum=0, write_dict_id=0)
-                into.append(z.ZstdCompressor(dict_data=content, compression_params=how))
+        how = z.ZstdCompressionParameters(window_log=18, chain_log=17, hash_log=17, search_log=5, min_match=3, target_length=64, strategy=z.STRATEGY_LAZY, write_content_size=0, write_checksum=0, write_dict_id=0)
+        self._each = [z.ZstdCompressor(dict_data=z.ZstdCompressionDict(contents[lang], dict_type=z.DICT_TYPE_RAWCONTENT), compression_params=how) for lang in self.languages]
 
     def sizes(self, data: bytes) -> list[int]:
-        chosen = self._thorough if len(data) <= self.SHORT else self._quick
         chunks = [data[k : k + self.CHUNK] for k in range(0, len(data), self.CHUNK)] or [data]
-        return [sum(len(c.compress(chunk)) for chunk in chunks) for c in chosen]
+        return [sum(len(c.compress(chunk)) for chunk in chunks) for c in self._each]
 
 
 def verdict(sizes: list[int], languages: list[str], narrow: float) -> tuple[str, float, bool]:

@@ -158,13 +158,14 @@ def _features(docs: DataFrame, more: list[str]) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> Trees:
     """Trees from at most ``sample`` labelled rows outside the held-out quarter, those of the smallest hashes.
 
-    Repeated labels of a document count as one (1 if any is 1); null labels,
-    unlabelled documents and labels without a document are not used.
+    Repeated labels of a document count as one (1 if any is 1), and so do texts
+    under one id (the one of the least statistics); null labels, unlabelled
+    documents and labels without a document are not used.
     """
     usable = labels.filter((remainder() != 2) & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = _features(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), ["doc_id", "quality"])  # at most `sample` rows
-    data = rows.select("doc_id", "quality", "features").orderBy("doc_id").limit(2 * sample).collect()
+    data = rows.groupBy("doc_id").agg(F.max("quality").alias("quality"), F.min("features").alias("features")).orderBy("doc_id").collect()
     x = np.array([r.features for r in data]).reshape(-1, len(FEATURES))
     return grow(x, np.array([r.quality > 0 for r in data], float))
 

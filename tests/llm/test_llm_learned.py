@@ -57,6 +57,41 @@ def test_trees_walk_as_one_by_one():
     assert quality.grow(np.empty((0, 3)), np.empty(0)).score(np.zeros((2, 3))).tolist() == [0.5, 0.5]
 
 
+def test_quality_ranks_held_out_documents(spark):
+    """Area under the curve of labelled documents that were not learned from; most labels are 1, so shares prove little."""
+    labels = {r.doc_id: r.quality for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()}
+    rows = [r for r in queries.QUERIES["op2_quality"](spark, "/root/testdata/sf0.1").collect() if r.held_out and labels.get(r.doc_id) is not None]
+    good, bad = ([r.score for r in rows if labels[r.doc_id] == k] for k in (1, 0))
+    assert len(good) > 100 and len(bad) > 50
+    assert sum((g > b) + 0.5 * (g == b) for g in good for b in bad) > 0.98 * len(good) * len(bad)
+    assert sum(s >= 0.7 for s in good) >= 0.97 * len(good) and sum(s < 0.7 for s in bad) >= 0.9 * len(bad)
+
+
+def test_trees_as_grown_slowly():
+    """One tree of one split: the best of all cuts tried one by one, with the leaves' values by hand."""
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 20, (300, 3)).astype(float)
+    y = (x[:, 1] > 12).astype(float)
+    y[:30] = 1 - y[:30]
+    trees = quality.grow(x, y, trees=1, depth=1)
+    p = (y.sum() + 1) / (len(y) + 2)
+    g, h = p - y, np.full(len(y), p * (1 - p))
+    part = lambda m: g[m].sum() ** 2 / (h[m].sum() + 1)
+    tried = {(j, cut): part(x[:, j] <= cut) + part(x[:, j] > cut) for j in range(3) for cut in range(19) if 10 <= (x[:, j] <= cut).sum() <= 290}
+    j, cut = max(tried, key=tried.get)
+    assert trees.feature[0] == j and ((x[:, j] > trees.bound[0]) == (x[:, j] > cut)).all()
+    for row, raw in zip(x, trees.raw(x), strict=True):
+        m = (x[:, j] > cut) == (row[j] > cut)
+        assert math.isclose(raw, math.log(p / (1 - p)) - 0.12 * g[m].sum() / (h[m].sum() + 1))
+
+
+def test_quality_of_repeated_ids(spark):
+    rows = [(i, f"some text number {i} " * (i % 5 + 1), "en") for i in range(40)] * 3 + [(i, "other text", "en") for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    once = quality.fit(_odd(spark, rows), labels, sample=30)
+    assert (once.feature == quality.fit(_odd(spark, rows[::-1]), labels, sample=30).feature).all()
+
+
 def test_quality_of_odd_rows(spark):
     labels = spark.createDataFrame([(4, 1, 0), (5, None, 0), (5, 0, 0), (99, 1, 0), (None, 1, 1)], "doc_id long, quality int, toxic int")
     trees = quality.fit(_odd(spark), labels)
@@ -73,6 +108,42 @@ def test_language_of_held_out_documents(spark):
     assert sum(r.lang_pred == lang[r.doc_id] for r in rows) >= 0.95 * len(rows) > 0
 
 
+def test_languages_as_by_sizes_alone(spark):
+    """The sizes of whole texts, compressed here chunk by chunk with every dictionary, give language, score and rejection."""
+    import zstandard as z
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    contents = langid.dictionaries(docs)
+    assert contents == langid.dictionaries(docs.repartition(7)) and all(0 < len(x) <= 32_768 for x in contents.values())
+    assert contents == langid.dictionaries(docs.unionAll(docs.filter("doc_id % 3 = 0")))  # copies count once
+    how = z.ZstdCompressionParameters(window_log=18, chain_log=17, hash_log=17, search_log=5, min_match=3, target_length=64, strategy=z.STRATEGY_LAZY, write_content_size=0, write_checksum=0, write_dict_id=0)
+    got = {r.doc_id: r for r in langid.identify(docs, contents).collect()}
+    for i, text, _ in _tables():
+        r = got[i]
+        if text is None or not re.search(r"[^\W\d_]", text):
+            assert (r.lang_pred, r.score, r.rejected) == ("und", 0.0, True)
+            continue
+        data = " ".join(re.sub("[\x00-\x40\x5b-\x60\x7b-\x7f]", " ", re.sub("[A-Z]", lambda m: m[0].lower(), text)).split(" ")).encode()
+        data = b" ".join(x for x in data.split(b" ") if x)
+        sizes = []
+        for content in contents.values():
+            c = z.ZstdCompressor(dict_data=z.ZstdCompressionDict(content, dict_type=z.DICT_TYPE_RAWCONTENT), compression_params=how)
+            sizes.append(sum(len(c.compress(data[k : k + 16_384])) for k in range(0, max(1, len(data)), 16_384)))
+        best = min(range(len(sizes)), key=lambda k: sizes[k])
+        margin = sorted(sizes)[1] - sizes[best]
+        assert (r.lang_pred, r.rejected) == (list(contents)[best], margin < max(1, 0.4 * math.sqrt(len(data))))
+        assert math.isclose(r.score, 1 / sum(2 ** (-2 * (s - sizes[best])) for s in sizes), rel_tol=1e-6)
+
+
+def test_dictionaries_of_ties_and_long_texts(spark):
+    rows = [(3, "tie tie tie", "aa"), (3, "tie tie tie", "bb"), (5, "x" * 3_000_000, "cc"), (6, "word " * 500_000, "dd")]
+    contents = langid.dictionaries(_odd(spark, [r for r in rows if not _held(r[0])] + [(k, r[1], r[2]) for r in rows for k in (100, 104) if not _held(k)]), size=2000)
+    assert set(contents) == {"aa", "bb", "cc", "dd"} and all(len(x) <= 2000 for x in contents.values())
+    got = langid.identify(_odd(spark, [(1, "tie tie", "zz")]), {k: contents[k] for k in ("bb", "aa")}).first()
+    assert (got.lang_pred, got.rejected) == ("bb", True)  # the one that comes first
+    assert set(langid.dictionaries(_odd(spark, rows), languages=2)) <= {"aa", "bb"}
+
+
 def test_language_of_odd_rows(spark):
     contents = {"en": b"the quick brown fox " * 20, "de": b"der schnelle braune fuchs " * 20}
     got = langid.identify(_odd(spark), contents, keep=_odd(spark).columns).collect()
