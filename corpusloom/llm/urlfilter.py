@@ -2,13 +2,15 @@
 
 Hosts and paths are cut out of the URLs, the longest fitting rule decides, and
 what no rule fits is blocked if its canonical form is listed.  The listing may
-be as large as the data: a blocked Bloom filter of it, of bounded size, lets
-through the URLs that may be listed, and only these meet the listing in an
-exact hash join, which removes the false positives.
+be as large as the data: a blocked Bloom filter of it lets through the URLs that
+may be listed, and only these meet the listing in an exact hash join, which
+removes the false positives.  The filter grows with the listing; up to
+BROADCAST_BLOCKS it is broadcast, beyond it is joined by block.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -17,9 +19,10 @@ from pyspark.sql import functions as F
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Bits of a block, and the bits that a key sets in its block.
 BLOCK_BITS, KEY_BITS = 256, 6
-#: The filter never has more blocks than this (8 MiB of bits); beyond the listing that suits it only the false positives grow.
-MAX_BLOCKS = 1 << 18
-MAX_RULES = 500
+#: Blocks of a filter that is broadcast, at most (8 MiB of bits).
+BROADCAST_BLOCKS = 1 << 18
+#: Rules up to which they are tried one by one; more are looked up by host.
+TRIED_RULES = 200
 
 
 @dataclass(frozen=True)
@@ -56,14 +59,28 @@ def canonical(host: Column, path: Column) -> Column:
 
 
 def ruled(host: Column, path: Column, rules: list[Rule]) -> Column:
-    """struct(rule, verdict) of the longest rule that fits, else null.  Of equally long rules the first by text decides."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules; list single URLs instead")
-    found = F.lit(None).cast("struct<rule:string,verdict:string>")
-    for r in sorted(rules, key=lambda r: (len(r.text), r.text)):
-        fits = ((host == r.host) | F.endswith(host, F.lit(f".{r.host}"))) & F.startswith(path, F.lit(r.path))
-        found = F.when(fits, F.struct(F.lit(r.text).alias("rule"), F.lit(r.verdict).alias("verdict"))).otherwise(found)
-    return found
+    """struct(rule, verdict) of the longest rule that fits, else null.  Of equally long rules the first by text decides, of the same text the last given."""
+    last = {r.text: r for r in rules}
+    ordered = sorted(last.values(), key=lambda r: (-len(r.text), r.text))
+    none = F.lit(None).cast("struct<rule:string,verdict:string>")
+    as_struct = lambda r: F.struct(F.lit(r.text).alias("rule"), F.lit(r.verdict).alias("verdict"))
+    if len(ordered) <= TRIED_RULES:
+        found = none
+        for r in reversed(ordered):
+            fits = ((host == r.host) | F.endswith(host, F.lit(f".{r.host}"))) & F.startswith(path, F.lit(r.path))
+            found = F.when(fits, as_struct(r)).otherwise(found)
+        return found
+    by_host: dict[str, list[str]] = {}
+    for place, r in enumerate(ordered):
+        by_host.setdefault(r.host, []).append(f"{place:09d}{r.verdict:5s}{r.path}")
+    table = F.from_json(F.lit(json.dumps(by_host)), "map<string,array<string>>")
+    labels = F.split(host, r"\.")
+    hosts = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
+    rows = F.flatten(F.filter(F.transform(hosts, lambda h: F.try_element_at(table, h)), lambda x: x.isNotNull()))
+    fitting = F.filter(rows, lambda r: F.startswith(path, F.substr(r, F.lit(15))))
+    best = F.array_min(fitting)  # the lowest place
+    texts = F.from_json(F.lit(json.dumps([r.text for r in ordered])), "array<string>")
+    return F.when(best.isNotNull(), F.struct(F.element_at(texts, F.substr(best, F.lit(1), F.lit(9)).cast("int") + 1).alias("rule"), F.rtrim(F.substr(best, F.lit(10), F.lit(5))).alias("verdict"))).otherwise(none)
 
 
 def _place(key: Column, blocks: int) -> tuple[Column, list[Column]]:
@@ -87,8 +104,8 @@ def bloom(listed: DataFrame, key: str, blocks: int) -> DataFrame:
 
 
 def blocks_for(keys: int) -> int:
-    """A power of two with about 16 bits for each key, within MAX_BLOCKS."""
-    return min(MAX_BLOCKS, 1 << max(4, (max(1, keys) * 16 // BLOCK_BITS).bit_length()))
+    """A power of two with about 16 bits for each key."""
+    return 1 << max(4, (max(1, keys) * 16 // BLOCK_BITS).bit_length())
 
 
 def url_verdicts(pages: DataFrame, rules: list[Rule], listed: DataFrame, *, keys: int) -> DataFrame:
@@ -107,7 +124,8 @@ def url_verdicts(pages: DataFrame, rules: list[Rule], listed: DataFrame, *, keys
     judged = parts.select("page_id", "host", "path", found.alias("found"), canonical(F.col("host"), F.col("path")).alias("canonical"))
     block, words = _place(F.col("canonical"), blocks)
     keyed = judged.select("*", block.alias("block"), *(w.alias(f"k{i}") for i, w in enumerate(words)))
-    filled = F.broadcast(bloom(listed, "canonical", blocks))  # at most MAX_BLOCKS rows
+    filled = bloom(listed, "canonical", blocks)
+    filled = F.broadcast(filled) if blocks <= BROADCAST_BLOCKS else filled  # no more rows than blocks
     within = F.lit(True)
     for i in range(4):
         within &= F.col(f"k{i}").bitwiseAND(F.col(f"w{i}")) == F.col(f"k{i}")
@@ -116,7 +134,7 @@ def url_verdicts(pages: DataFrame, rules: list[Rule], listed: DataFrame, *, keys
     exact = (
         probed.filter("maybe")
         .select("page_id", "host", "path", "found", "canonical")
-        .join(listed.withColumn("listed", F.lit(True)), "canonical", "left")
+        .join(listed.withColumn("listed", F.lit(True)).hint("shuffle_hash"), "canonical", "left")
         .select("page_id", "host", "path", "found", "canonical", F.coalesce("listed", F.lit(False)).alias("hit"))
     )
     verdict = F.coalesce(F.col("found.verdict"), F.when(F.col("hit"), "block").otherwise("allow"))
