@@ -7,11 +7,23 @@ rehashing: no buckets are fixed beforehand).  A vector that lies in the windows
 of enough lines is verified: its distance is computed in double precision.  The
 search of a block ends when k verified vectors lie within the radius, or all
 have been verified; the best of all blocks are the result.
+
+The threshold follows from the bounds of errors.  The lines come as orthogonal
+bases, each stretched so that a distance s appears on a line as about a normal
+number of spread s.  With windows of one radius to either side, a vector at the
+radius lies in each with the probability p = 0.68, and in fewer of all lines than the
+threshold with the probability MISS; the squares of a basis's projections add up
+to the squared distance, which makes the count more certain than with independent lines.
+The farther a vector, the less often it reaches the threshold; its share of
+all is what decides about the work.  The query set is stated beforehand, and each
+query is sent to every block.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -22,28 +34,43 @@ from pyspark.sql import functions as F
 from corpusloom.llm.shared import cut_lineage
 
 
+#: Lines, and the probability that a vector at the radius of the search is not verified.
+LINES, MISS = 128, 0.1
+
+
 def usable(vector: Column) -> Column:
     """Not null, not empty, all components finite numbers, and not all zero."""
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     return vector.isNotNull() & (F.size(vector) > 0) & finite & F.exists(vector, lambda x: x != 0)
 
 
+def threshold(lines: int, dim: int, miss: float = MISS) -> int:
+    """Windows in which a vector at the radius lies but for a probability of ``miss``."""
+    normal = NormalDist()
+    p = 2 * normal.cdf(1.0) - 1
+    # The correlation, squared, of lying in a window with the square of the projection, whose sum over a basis is known.
+    known = (2 * normal.pdf(1.0)) ** 2 / (2 * p * (1 - p)) * min(1.0, lines / dim)
+    return max(1, math.floor(lines * p - normal.inv_cdf(1 - miss) * math.sqrt(lines * p * (1 - p) * (1 - known))))
+
+
 class Block:
     """The sorted projections of some vectors."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, lines: int = 48, share: float = 0.5, growth: float = 1.15, seed: int = 7):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, lines: int = LINES, growth: float = 1.1, seed: int = 7):
         self.ids, self.vectors, self.growth = ids, vectors, growth
         dim = vectors.shape[1]
-        self.lines = np.random.default_rng(seed).standard_normal((dim, lines))
+        rng = np.random.default_rng(seed)
+        bases = [np.linalg.qr(rng.standard_normal((dim, dim)))[0] * math.sqrt(dim) for _ in range(-(-lines // dim))]
+        self.lines = np.concatenate(bases, 1)[:, :lines]
         projected = vectors @ self.lines
-        self.order = np.argsort(projected, 0, kind="stable").T.astype(np.int32)
-        self.sorted = np.take_along_axis(projected, self.order.T, 0).T.copy()
-        self.threshold = max(1, round(share * lines))
+        self.order = np.argsort(projected, 0, kind="stable").T.astype(np.int32).copy()
+        self.sorted = np.take_along_axis(projected.T, self.order.astype(np.int64), 1)
+        self.threshold = threshold(lines, dim)
         spread = float(np.linalg.norm(vectors.std(0)))
-        self.first = spread / 4 if spread > 0 else 1.0
+        self.first = spread / 2 if spread > 0 else 1.0
 
-    def nearest(self, query: np.ndarray, k: int, own: int | None) -> list[tuple[float, int]]:
-        """(distance, id) of the k nearest found, ties to the smaller id; the query's own row (id ``own``) is left out."""
+    def nearest(self, query: np.ndarray, k: int, own: int | None) -> tuple[list[tuple[float, int]], int]:
+        """(distance, id) of the k nearest found, ties to the smaller id, without the query's own row (id ``own``); and how many were verified."""
         at = query @ self.lines
         n, lines = len(self.ids), len(self.sorted)
         low = np.array([np.searchsorted(self.sorted[i], at[i]) for i in range(lines)])
@@ -55,9 +82,9 @@ class Block:
         while True:
             touched = []
             for i in range(lines):
-                # A line stretches a distance by a standard normal factor: the window covers one radius either way.
-                a, b = np.searchsorted(self.sorted[i], at[i] - radius), np.searchsorted(self.sorted[i], at[i] + radius, "right")
-                a, b = min(a, low[i]), max(b, high[i])
+                row = self.sorted[i]
+                a = int(row[: low[i]].searchsorted(at[i] - radius))
+                b = int(high[i] + row[high[i] :].searchsorted(at[i] + radius, "right"))
                 touched += [self.order[i, a : low[i]], self.order[i, high[i] : b]]
                 low[i], high[i] = a, b
             count += np.bincount(np.concatenate(touched), minlength=n).astype(np.int32)
@@ -74,8 +101,9 @@ class Block:
                 top = np.lexsort((ids, far))[:k]
                 best = sorted([*best, *zip(far[top].tolist(), ids[top].tolist(), strict=True)])[:k]
             if seen.all() or len(best) == k and best[-1][0] <= radius:
-                return best
-            radius *= self.growth
+                return best, int(seen.sum())
+            # Never farther than to the k-th found; rounding must not stop the growth.
+            radius = min(radius * self.growth, max(best[-1][0], radius * 1.0001)) if len(best) == k else radius * self.growth
 
 
 def nearest(vectors: DataFrame, every: int = 100, k: int = 10, block_rows: int = 16_384) -> DataFrame:
@@ -98,7 +126,7 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10, block_rows: int =
     # The stated queries meet all rows, block by block: they are copied once for every block of vectors.
     asked = rows.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
     copies = asked.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(1).alias("kind"), "vec_id", "v")
-    dealt = data.unionAll(copies).repartition(max(1, blocks), "block").sortWithinPartitions("block", "kind", "vec_id", "v")
+    dealt = data.unionAll(copies).repartitionByRange(max(1, blocks), "block").sortWithinPartitions("block", "kind", "vec_id", "v")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -120,7 +148,7 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10, block_rows: int =
                     index = Block(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]))
                     held = []
                 for r in range(start, stop) if index is not None else ():
-                    out += [(int(ids[r]), i, d) for d, i in index.nearest(matrix[r], k, int(ids[r]))]
+                    out += [(int(ids[r]), i, d) for d, i in index.nearest(matrix[r], k, int(ids[r]))[0]]
             q, v, d = zip(*out, strict=True) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(d, pa.float64())], names=["query_id", "vec_id", "score"])
 

@@ -361,6 +361,37 @@ def test_search_recall(spark):
     assert right >= 0.95 * total
 
 
+def test_search_in_several_blocks(spark):
+    """Recall against brute force where the vectors fall into blocks, and how few are verified."""
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding")
+    rows = [(r.vec_id, np.array(r.embedding, float)) for r in table.collect()]
+    ids, vectors = np.array([i for i, _ in rows]), np.stack([v for _, v in rows])
+    got = {}
+    for r in ann.nearest(table, every=50, k=10, block_rows=300).collect():
+        got.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
+    asked, right, verified = ids[ids % 50 == 0], 0, 0
+    assert set(got) == set(asked.tolist()) and all(sorted(x) == list(range(1, 11)) for x in got.values())
+    block = ann.Block(ids, vectors)
+    for q in asked:
+        own = vectors[ids == q][0]
+        far = np.sqrt(((vectors - own) ** 2).sum(1))
+        order = [k for k in np.lexsort((ids, far)) if ids[k] != q][:10]
+        assert all(math.isclose(d, far[ids == i][0], rel_tol=1e-12) for i, d in got[q].values())
+        right += len({int(ids[k]) for k in order} & {i for i, _ in got[q].values()})
+        verified += block.nearest(own, 10, int(q))[1]
+    assert right >= 0.93 * 10 * len(asked)
+    assert verified < 0.2 * len(ids) * len(asked)
+
+
+def test_threshold_misses_as_seldom_as_stated():
+    rng = np.random.default_rng(8)
+    block = ann.Block(np.arange(10), rng.standard_normal((10, 64)))
+    away = rng.standard_normal((4000, 64))
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    counts = (np.abs(away @ block.lines) <= 1.0).sum(1)
+    assert 0.05 < (counts < block.threshold).mean() < 0.13
+
+
 def test_search_of_odd_rows(spark):
     kind = "vec_id long, embedding array<float>, score string"
     rows = [(0, [1.0, 0.0]), (100, [0.0, 1.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [float("nan"), 1.0]), (6, [None, 1.0]), (7, []), (None, [1.0, 1.0])]
