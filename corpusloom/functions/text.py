@@ -70,6 +70,8 @@ def quote_span(line: str, at: int) -> tuple[str, int] | None:
     Nested marks of the same kind are balanced; up to two absorbed marks after
     the closing one belong to the span.  A mark that closes itself never closes.
     """
+    if line[at : at + 1] not in OPENING + "(":  # most places; the empty text is caught below
+        return None
     text = line.translate({40: "（", 41: "）"})
     kind = OPENING.find(text[at : at + 1]) if at < len(text) else -1
     if kind < 0:

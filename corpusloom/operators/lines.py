@@ -16,10 +16,11 @@ def to_lines(docs: DataFrame, text: str = "text", *, keep: tuple[str, ...] = ("d
 def judged(lines: DataFrame, *, least_length: int = 5, allowed: str | None = None, max_run: int | None = None, **limits) -> DataFrame:
     """Adds kept, han, illegal and verdict (ok, bad, err) to ``lines(line)``; lines under ``least_length`` UTF-16 units vanish."""
     long = lines.filter(chars.utf16_length(F.col("line")) >= least_length)
-    converted = long.withColumn("__t", chars.convert(F.col("line")))
-    parts = converted.withColumn("illegal", chars.first_illegal(F.col("__t"), allowed)).withColumn("kept", chars.kept_text(F.col("__t")))
-    parts = parts.withColumn("han", chars.han_text(F.col("kept")))
-    return parts.withColumn("verdict", chars.verdict(F.col("__t"), F.col("illegal"), F.col("han"), F.col("kept"), max_run, **limits)).drop("__t")
+    # Bound by lambdas and put out by a generator: a filter above would otherwise repeat the conversion for each of its uses.
+    one = F.transform(F.array(chars.convert(F.col("line"))), lambda t: F.struct(t.alias("t"), chars.first_illegal(t, allowed).alias("illegal"), chars.kept_text(t).alias("kept")))
+    one = F.transform(one, lambda x: F.struct(x["t"].alias("t"), x["kept"].alias("kept"), chars.han_text(x["kept"]).alias("han"), x["illegal"].alias("illegal")))
+    one = F.transform(one, lambda x: F.struct(x["kept"], x["han"], x["illegal"], chars.verdict(x["t"], x["illegal"], x["han"], x["kept"], max_run, **limits).alias("verdict")))
+    return long.select("*", F.inline(one))
 
 
 def illegal_histogram(judged_lines: DataFrame, top: int | None = None) -> DataFrame:
@@ -40,15 +41,16 @@ def first_of(rows: DataFrame, key: str | Column, order: list[str]) -> DataFrame:
     return best.select(*(F.col(f"__row.{c}").alias(c) for c in [*order, *rest])).select(*rows.columns)
 
 
-def with_repeats(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """Adds ``first``: whether a row is the first of its key.  ``order`` must tell all rows apart."""
-    firsts = rows.groupBy(F.col(key).alias("__key")).agg(F.min(F.struct(*order)).alias("__at")).select(*(F.col(f"__at.{c}").alias(c) for c in order), F.lit(True).alias("first"))
-    return rows.join(firsts, order, "left").withColumn("first", F.coalesce("first", F.lit(False)))
-
-
 def filtered(lines: DataFrame, order: tuple[str, ...] = ("doc_id", "line_no"), **limits) -> DataFrame:
-    """The four outcomes of every line: kept, repeat, bad, err.  Lines are repeats if their Han characters are those of an earlier line."""
+    """The four outcomes of every line: kept, repeat, bad, err.  Lines are repeats if their Han characters are those of an earlier line.
+
+    ``order`` must tell all lines apart.  Only keys are joined, so that the lines are judged twice and texts shuffled once.
+    """
     every = judged(lines, **limits)
-    fine = with_repeats(every.filter("verdict = 'ok'"), "han", list(order))
-    fine = fine.withColumn("verdict", F.when(F.col("first"), "kept").otherwise("repeat")).drop("first")
-    return fine.unionByName(every.filter("verdict != 'ok'"))
+    firsts = every.filter("verdict = 'ok'").groupBy("han").agg(F.min(F.struct(*order)).alias("__at")).select(*(F.col(f"__at.{c}").alias(f"__{c}") for c in order), F.lit(True).alias("__first"))
+    same = F.lit(True)
+    for c in order:
+        same &= F.col(c).eqNullSafe(F.col(f"__{c}"))
+    rest = [c for c in every.columns if c != "verdict"]
+    verdict = F.when(F.col("verdict") != "ok", F.col("verdict")).when(F.col("__first"), "kept").otherwise("repeat")
+    return every.join(firsts, same, "left").select(*rest, verdict.alias("verdict"))

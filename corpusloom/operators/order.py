@@ -4,19 +4,48 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Only a session in one process (as in tests) may do without: it gets a
+    temporary folder.  On a cluster others could not read that: an error.
+    """
+    set_ = spark.conf.get("spark.checkpoint.dir", None)
+    if set_:
+        return set_
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("spark.checkpoint.dir is not set: driver and executors need a shared folder")
+    return tempfile.mkdtemp(prefix="shared-")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """checkpoint() into spark.checkpoint.dir; only where that is unset (as in tests) a temporary folder is used."""
+    """checkpoint() into the shared folder."""
     context = df.sparkSession.sparkContext
-    if not context.getConf().get("spark.checkpoint.dir") and context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows over all cores, if a table has fewer splits than there are cores, as one row group can't be split.
+
+    Tables of many splits stay as they are: no shuffle at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def removed(spark: SparkSession, folder: str) -> None:
+    """Removes a folder of intermediate results, wherever Spark can write."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def running_sum(df: DataFrame, order: list[str], value: Column, name: str) -> DataFrame:
     """Adds the sum of ``value`` over all rows up to each one, in the order of the columns, which must tell all rows apart.
 

@@ -16,6 +16,7 @@ from corpusloom.operators import documents as D
 from corpusloom.operators import lines as L
 from corpusloom.operators import sentences as S
 from corpusloom.operators import wiki
+from corpusloom.operators.order import spread
 from corpusloom.plans.registry import query
 
 DERIVE_FROM = "abcdefghijklmnopqrstuvwxyz.?!QXA"
@@ -29,7 +30,7 @@ def derived(text: Column) -> Column:
 
 
 def _docs(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/documents.parquet")
+    return spread(spark.read.parquet(f"{folder}/documents.parquet"))
 
 
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -209,11 +210,18 @@ def footnote_strip(spark: SparkSession, folder: str) -> DataFrame:
     return wiki.strip_footnotes(_headed(spark, folder))
 
 
-@query()
+_MARKS = T.OPENING + T.CLOSING + "()"
+_NO_MARKS = f"[{chars.escaped(_MARKS)}]"
+
+
+@query(f"""WITH {_LINES},
+quoted AS (SELECT doc_id, line_no, regexp_replace(regexp_replace(line, '{_NO_MARKS}', '', 'g'), '。([^。]*)。', '“\\1，”', 'g') AS line FROM lines),
+spans AS (SELECT doc_id, line_no, list_filter(regexp_extract_all(line, '“[^“”]*”[{chars.escaped(T.ABSORBED)}]{{0,2}}'), lambda x: instr(x, '”') > {T.LONG_WITH_MARK}) AS spans FROM quoted)
+SELECT doc_id, line_no, unnest(range(len(spans))) AS span_no, unnest(spans) AS span FROM spans""")
 def quote_span(spark: SparkSession, folder: str) -> DataFrame:
-    """Quotations of every line; commas and words between full stops are put into marks to have some."""
-    quoted = F.regexp_replace("line", "。([^。]*)。", "“$1，”")
-    return S.quotations(_lines(spark, folder).withColumn("line", quoted))
+    """Quotations of every line; marks are left out, and words between full stops put into marks, with a comma."""
+    quoted = F.regexp_replace(F.regexp_replace("line", _NO_MARKS, ""), "。([^。]*)。", "“$1，”")
+    return S.quotations(_lines(spark, folder).withColumn("line", quoted)).withColumn("span_no", F.col("span_no").cast("long"))
 
 
 @query("""WITH f AS (SELECT doc_id, 'URL::http://x/' || doc_id || chr(10) || coalesce(text, '') || chr(10) || 'END::' AS text FROM documents WHERE doc_id IS NOT NULL),

@@ -2,27 +2,25 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions import urls
+from corpusloom.functions import dom, urls
 from corpusloom.operators import crawl, documents, extract, pairs, wiki
-from corpusloom.operators.order import cut_lineage
+from corpusloom.operators.order import shared_folder, spread
 from corpusloom.plans.registry import query
 from corpusloom.sources import archive
 from corpusloom.streaming import flows
 
 ACCEPT, REJECT = r"/(en|fr|de)/", r"[?&]utm_source=|\.html$"
 REPLACEMENTS = [("^http://", "https://"), (r"[?#].*$", ""), (r"/(\d+)/?$", "/page-$1")]
-LEVELS = 5
 SELECTORS = extract.Extraction(accept=["article h1", "article p"], reject=["div.ad", "footer"])
 
 
 def _pages(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/pages.parquet")
+    return spread(spark.read.parquet(f"{folder}/pages.parquet"))
 
 
 _HREF = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|''[^'']*''|[^\s>"'']+)"""
@@ -89,24 +87,17 @@ _EDGES = "edges AS (SELECT p.page_id AS url, (7 * p.page_id + j) % (SELECT count
 
 
 @query(f"""WITH RECURSIVE {_EDGES},
-reached AS (SELECT CAST(0 AS BIGINT) AS url, CAST(0 AS BIGINT) AS depth UNION SELECT e.link, r.depth + 1 FROM reached r JOIN edges e ON e.url = r.url WHERE r.depth < {LEVELS})
+reached AS (SELECT CAST(0 AS BIGINT) AS url, CAST(0 AS BIGINT) AS depth UNION SELECT e.link, r.depth + 1 FROM reached r JOIN edges e ON e.url = r.url WHERE r.depth < (SELECT count(*) FROM pages))
 SELECT url, min(depth) AS depth FROM reached GROUP BY url""")
 def crawl_bfs_depth(spark: SparkSession, folder: str) -> DataFrame:
-    """Least depth of the pages that are reached over a derived link graph within LEVELS levels, as its SQL has it."""
-    return _derived_crawl(spark, folder, LEVELS)
+    """Least depth of all pages that are reached over a derived link graph: until a level brings nothing new.
 
-
-@query()
-def crawl_bfs_whole(spark: SparkSession, folder: str) -> DataFrame:
-    """Least depth of all pages that are reached over a derived link graph: until a level brings nothing new."""
-    return _derived_crawl(spark, folder, None)
-
-
-def _derived_crawl(spark: SparkSession, folder: str, levels: int | None) -> DataFrame:
+    In SQL no depth beyond the number of pages is tried, as no least one is larger.
+    """
     pages = _pages(spark, folder)
     n = pages.count()
     edges = pages.select(F.col("page_id").alias("url"), F.explode(F.array(*(F.lit(j).cast("long") for j in (1, 2, 3)))).alias("j")).select("url", ((7 * F.col("url") + F.col("j")) % n).alias("link"))
-    return crawl.crawl_levels(spark.range(1).select(F.col("id").alias("url")), edges, levels)
+    return crawl.crawl_levels(spark.range(1).select(F.col("id").alias("url")), edges)
 
 
 @query(f"""WITH {_LINKS}, one AS (SELECT unnest(links) AS url FROM resolved WHERE url IS NOT NULL),
@@ -127,7 +118,7 @@ WIDE_WINDOW = ("2023-02-10", "2024-10-15")
 def _dated(spark: SparkSession, folder: str) -> DataFrame:
     two = lambda x: F.lpad((1 + x).cast("string"), 2, "0")
     parts = [F.lit("a "), F.date_format("ts", "yyyy-MM-dd"), F.lit(" b "), F.date_format("ts", "yyyy"), F.lit("年"), two(F.col("user_id") % 12), F.lit("月"), two(F.col("event_id") % 31), F.lit("日 c")]
-    return spark.read.parquet(f"{folder}/events.parquet").select("event_id", F.concat(*parts).alias("html"))
+    return spread(spark.read.parquet(f"{folder}/events.parquet")).select("event_id", F.concat(*parts).alias("html"))
 
 
 @query(f"WITH {_DATED} SELECT event_id, CAST(latest AS VARCHAR) AS latest FROM latest")
@@ -187,38 +178,64 @@ def body_limit(spark: SparkSession, folder: str) -> DataFrame:
     return crawl.limited_body(plain, 500)
 
 
-@query()
+# The generated pages have one article without attributes, paragraphs that only the next one may close, and no nested blocks.
+_PLAIN = lambda x: f"""replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace({x}, '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#39;', chr(39)), '&nbsp;', chr(160)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')"""
+_SPACED = lambda x: f"regexp_replace({x}, '[ \\t\\n\\r\\f]+', ' ', 'g')"
+_STRIP = lambda x, chars="\\x00-\\x20": f"regexp_replace({x}, '^[{chars}]+|[{chars}]+$', '', 'g')"
+_ARTICLE = """article AS (SELECT page_id, html, regexp_extract(html, '(?s)<article>(.*?)(</article>|$)', 1) AS body, regexp_matches(html, '<article>') AS there FROM pages),
+parts AS (SELECT page_id, there, regexp_extract(body, '(?s)<h1>(.*?)</h1>', 1) AS head, list_transform(string_split(body, '<p>')[2:], lambda x: string_split(x, '</p>')[1]) AS paras FROM article)"""
+_BROKEN = "replace(x, '<br>', chr(1))"
+
+
+@query(f"""WITH {_ARTICLE},
+texts AS (SELECT page_id, there, list_transform(list_prepend(head, paras), lambda x: {_STRIP(f"replace({_SPACED(_PLAIN(_BROKEN))}, chr(1), chr(10))")}) AS texts FROM parts)
+SELECT page_id, CASE WHEN there THEN array_to_string(list_transform(list_filter(texts, lambda x: x <> ''), lambda x: x || chr(10)), '') END AS text FROM texts""")
 def css_text(spark: SparkSession, folder: str) -> DataFrame:
     """Titles and paragraphs of every article."""
     return extract.selected(_pages(spark, folder), SELECTORS).select("page_id", "text")
 
 
-@query()
+@query(f"""WITH {_ARTICLE},
+texts AS (SELECT page_id, there, {_STRIP(f"replace({_STRIP(_SPACED(_PLAIN('joined')), ' ')}, chr(1), chr(10))")} AS text FROM (SELECT page_id, there,
+  ' ' || head || ' ' || array_to_string(list_transform(paras, lambda x: ' ' || replace(x, '<br>', ' ' || chr(1)) || chr(1) || ' '), '') AS joined FROM parts))
+SELECT page_id, CASE WHEN there THEN CASE WHEN text = '' THEN '' ELSE text || chr(10) END END AS text FROM texts""")
 def css_text_br2n(spark: SparkSession, folder: str) -> DataFrame:
     return extract.selected(_pages(spark, folder), extract.Extraction(accept=["article"], mode="br2n")).select("page_id", "text")
 
 
-@query()
+_BLOCKS = f"""body AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '(?s)^.*?</head>', ''), '(?s)<!--.*?-->', '', 'g'), '</?(?:{"|".join(sorted(dom.BLOCKS))})(?: [^>]*)?>', chr(1), 'g') AS html FROM pages),
+cut AS (SELECT page_id, string_split(html, chr(1)) AS parts FROM body),
+raw AS (SELECT page_id, unnest(range(len(parts))) AS pos, unnest(parts) AS part FROM cut),
+texts AS (SELECT page_id, pos, trim({_SPACED(_PLAIN('part'))}) AS block, trim({_SPACED(_PLAIN("array_to_string(regexp_extract_all(part, '(?s)<a(?: [^>]*)?>(.*?)</a>', 1), ' ')"))}) AS linked FROM raw),
+counted AS (SELECT page_id, pos, block, len(string_split(block, ' ')) AS w, CASE WHEN linked = '' THEN 0 ELSE len(string_split(linked, ' ')) END AS l FROM texts WHERE block <> ''),
+near AS (SELECT *, l / w AS d, coalesce(lag(w) OVER o, 0) AS pw, coalesce(lag(l / w) OVER o, 0) AS pd, coalesce(lead(w) OVER o, 0) AS nw, coalesce(lead(l / w) OVER o, 0) AS nd FROM counted WINDOW o AS (PARTITION BY page_id ORDER BY pos)),
+content AS (SELECT page_id, pos, block, CASE WHEN d > 1 / 3 THEN false WHEN pd > 5 / 9 THEN w > 17 OR (nd <= 1 / 3 AND nw > 17) ELSE w > 16 OR nw > 15 OR pw > 4 END AS content FROM near),
+main AS (SELECT page_id, string_agg(block, chr(10) ORDER BY pos) AS text FROM content WHERE content GROUP BY page_id)
+SELECT p.page_id, coalesce(m.text, '') AS text FROM pages p LEFT JOIN main m ON p.page_id = m.page_id"""
+
+
+@query(f"WITH {_BLOCKS}")
 def mix_parse(spark: SparkSession, folder: str) -> DataFrame:
-    """By a selector that only some pages have, and by blocks for the rest."""
+    """By a selector, and by blocks for the pages without it: no generated page has it, which the SQL relies on."""
     return extract.parsed(_pages(spark, folder), extract.Extraction(accept=["article.story"]), extract.MIXED).select("page_id", "text")
 
 
-@query()
+@query(f"""WITH found AS (SELECT page_id, list_filter(list_transform(regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '(?s)<li>(.*?)</li>', 1), lambda x: trim({_SPACED(_PLAIN('x'))})), lambda x: x <> '') AS names FROM pages)
+SELECT page_id, CASE WHEN len(names) > 0 THEN 'Category::' || array_to_string(names, ',') END AS category_line FROM found""")
 def wiki_categories(spark: SparkSession, folder: str) -> DataFrame:
     """Navigation entries as categories."""
     made = extract.selected(_pages(spark, folder), extract.Extraction(accept=["article"], missing=".noarticletext", categories="nav li"))
     return wiki.category_line(made).select("page_id", "category_line")
 
 
-@query()
+@query(f"WITH {_BLOCKS}")
 def boilerplate_text(spark: SparkSession, folder: str) -> DataFrame:
     return extract.main_text(_pages(spark, folder))
 
 
 def _place(spark: SparkSession) -> str:
-    """A new folder in the cluster's shared one; a temporary one only where none is named."""
-    return f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='streams-')}/{uuid.uuid4().hex}"
+    """A new folder in the shared one."""
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
 
 
 @query(f"WITH {_LINKS} SELECT DISTINCT link AS url FROM (SELECT unnest(links) AS link FROM resolved WHERE url IS NOT NULL)")

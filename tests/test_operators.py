@@ -336,7 +336,7 @@ def test_crawl_without_a_limit(spark):
         found = {(7 * u + j) % len(ids) for u in level if u in ids for j in (1, 2, 3)} - depths.keys()
         depths |= dict.fromkeys(found, depths[level[0]] + 1)
         level = sorted(found)
-    got = {r.url: r.depth for r in registry.QUERIES["crawl_bfs_whole"](spark, folder).collect()}
+    got = {r.url: r.depth for r in registry.QUERIES["crawl_bfs_depth"](spark, folder).collect()}
     assert got == depths and len(got) == len(ids)
 
 
