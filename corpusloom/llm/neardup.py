@@ -31,7 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.pieces import Memo
-from corpusloom.llm.shared import components, cut_lineage
+from corpusloom.llm.shared import components
+from corpusloom.operators.order import cut_lineage
 
 #: Values listed, and values kept for the estimate.
 LISTED, KEPT = 32, 128

@@ -1,19 +1,11 @@
-"""Lineage cuts in the cluster's shared folder, and connected components."""
+"""Names that a table does not have yet, and connected components."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """checkpoint() into spark.checkpoint.dir; only where that is unset (as in tests) a temporary folder is used."""
-    context = df.sparkSession.sparkContext
-    if not context.getConf().get("spark.checkpoint.dir") and context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint()
+from corpusloom.operators.order import cut_lineage
 
 
 def unused(names: list[str], taken: list[str]) -> list[str]:
