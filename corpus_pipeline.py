@@ -7,7 +7,6 @@ again.  All stages but the last return the columns that they were given.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import bpe, decontam, langid, neardup, quality
 from corpusloom.llm.shared import unused
+from corpusloom.operators.order import removed, shared_folder, spread
 
 #: No SQL: trees, compression and byte-pair encoding have none; the tests hold each stage against its brute-force version.
 ORACLE_SQL = None
@@ -81,11 +81,12 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written and read again."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pipeline-")
-    place = f"{shared}/pipeline-{uuid.uuid4().hex}"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; each result is written and read again, and removed when the next one is there."""
+    place = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     for number, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{place}/{number}")
         docs = spark.read.parquet(f"{place}/{number}")
+        if number:
+            removed(spark, f"{place}/{number - 1}")
     return docs
