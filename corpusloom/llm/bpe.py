@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from corpusloom.llm.pieces import Memo, cut
+from corpusloom.llm.shared import sliced
 
 _NONE = 1 << 62
 
@@ -177,7 +178,7 @@ def encoded(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", ids: boo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(vocabulary)
-        for batch in batches:
+        for batch in sliced(batches):
             n, ids_hex, out_hex, sizes, all_ids = [], [], [], [], []
             for text in batch.column(1):
                 packed = bpe.encode_bytes(text.as_py())

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from corpusloom.llm.quality import remainder
-from corpusloom.llm.shared import unused
+from corpusloom.llm.shared import sliced, unused
 
 _LETTER = re.compile(r"[^\W\d_]")
 #: ASCII bytes that are not letters become spaces, so that only words are compared.
@@ -67,7 +67,7 @@ def dictionaries(docs: DataFrame, size: int = 32_768, sample: int = 120, languag
         rate = F.when(F.col("lang") == lang, F.lit(min(steps, math.ceil(steps * sample / max(1, r.texts))))).otherwise(rate)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found = [_passage(t, d) if _LETTER.search(t) else b"" for t, d in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.binary())], names=["lang", "draw", "passage"])
 
@@ -136,7 +136,7 @@ def identify(docs: DataFrame, contents: dict[str, bytes], narrow: float = NARROW
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressors = Compressors(contents) if contents else None
-        for batch in batches:
+        for batch in sliced(batches):
             rows = []
             for text in batch.column(place):
                 text = text.as_py()

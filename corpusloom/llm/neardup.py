@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.pieces import Memo
-from corpusloom.llm.shared import components
+from corpusloom.llm.shared import components, sliced
 from corpusloom.operators.order import cut_lineage
 
 #: Values listed, and values kept for the estimate.
@@ -52,7 +52,7 @@ def _word_hash(word: bytes) -> int:
 
 @lru_cache(maxsize=1)
 def _word_hashes() -> Memo:
-    return Memo(_word_hash)
+    return Memo(_word_hash, max_chars=20_000_000)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -100,7 +100,7 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
     """(doc_id, text_hash, n, key, sketch) of every row: size and digest of its set, and the lowest LISTED hashes, as signed longs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found = [shingles(text.as_py(), words) for text in batch.column(2)]
             n = pa.array([len(x) for x in found], pa.int64())
             keys = pa.array([_digest(x) if len(x) else None for x in found], pa.binary())
@@ -155,7 +155,7 @@ def _sets(docs: DataFrame, alive: DataFrame, words: int) -> DataFrame:
     rows = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("text_hash") == F.col("rep_hash"))).select("node", "key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             nodes, sets = [], []
             for node, key, text in zip(*(batch.column(i) for i in range(3)), strict=True):
                 found = shingles(text.as_py(), words)
@@ -182,7 +182,7 @@ def _estimated(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame
     rows = pairs.join(side("a"), "a").join(side("b"), "b").filter(fit).select("a", "b", "a_n", "b_n", "a_s", "b_s")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             n = [batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3)]
             keep = promising(_padded(batch.column(4)), _padded(batch.column(5)), *n, percent) if batch.num_rows else np.zeros(0, bool)
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep)) for i in range(2)], names=["a", "b"])
@@ -346,7 +346,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     rows = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_values", "b_values")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 p, q = x.values.to_numpy(zero_copy_only=False), y.values.to_numpy(zero_copy_only=False)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from corpusloom.llm.shared import unused
+from corpusloom.llm.shared import sliced, unused
 
 _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
@@ -148,7 +148,7 @@ def _features(docs: DataFrame, more: list[str]) -> DataFrame:
     kinds = ", ".join(f"{n} {docs.schema[n].dataType.simpleString()}" for n in more)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             rows = [statistics(x.as_py()) for x in batch.column(len(more))]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(more)], pa.array(rows, pa.list_(pa.float64()))], names=names)
 
@@ -181,7 +181,7 @@ def score(docs: DataFrame, trees: Trees, least: float = 0.7, keep: list[str] | N
     place = names.index("text") if "text" in names else len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             x = np.array([statistics(t.as_py()) for t in batch.column(place)]).reshape(-1, len(FEATURES))
             s = trees.score(x)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(s), pa.array((s >= least).astype(np.int32))], names=[*names, *added])

@@ -1,13 +1,24 @@
-"""Names that a table does not have yet, and connected components."""
+"""Batches of bounded memory, names that a table does not have yet, and connected components."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.operators.order import cut_lineage
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, so that what is made of a batch need not be held at once; at the end unused memory is given back."""
+    for batch in batches:
+        for start in range(0, max(1, batch.num_rows), rows):
+            yield batch.slice(start, rows)
+    pa.default_memory_pool().release_unused()
+
+
 def unused(names: list[str], taken: list[str]) -> list[str]:
     """The names, with underscores after those that a table already has."""
     held, out = {x.lower() for x in taken}, []

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from corpusloom.llm.pieces import cut
+from corpusloom.llm.shared import sliced
 
 #: Pieces whose counts a worker remembers.
 _KNOWN = 600_000
@@ -118,7 +119,7 @@ def token_counts(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", limit:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = _counter(vocabulary, chunk)
-        for batch in batches:
+        for batch in sliced(batches):
             texts = [x.as_py() or "" for x in batch.column(1)]
             tokens = np.array([n for part in _runs(texts) for n in count(part)], np.int64)
             sizes = np.array([len(x.encode()) for x in texts], np.int64)
