@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from functools import lru_cache
 from html.parser import HTMLParser
 
@@ -17,7 +18,6 @@ _CLOSES = {
 # Elements that begin with a mark in the visitor's text, and those that end with a line end.
 VISITOR_OPEN = {"li": "\n* ", "dd": "\t"}
 VISITOR_CLOSE = frozenset(("br", "p", "h1", "h2", "h3", "h4", "h5", "ul", "ol", "dd", "dl", "dt", "pre"))
-MAX_DEPTH = 500
 
 
 class Element:
@@ -42,10 +42,11 @@ class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Element("#root", {}, None)
-        self.depth = 0
+        # How many elements of a tag are open: what isn't open is not looked for, however deep the page.
+        self.open: Counter[str] = Counter()
 
     def _close(self, tags: set[str], until: set[str]) -> None:
-        one = self.at
+        one = self.at if any(self.open[t] for t in tags) else self.root
         while one.parent is not None and one.tag not in until:
             if one.tag in tags:
                 self._leave(one)
@@ -53,29 +54,28 @@ class _Builder(HTMLParser):
             one = one.parent
 
     def _leave(self, one: Element) -> None:
-        while self.at is not one:
-            self.at, self.depth = self.at.parent, self.depth - 1
-        self.at, self.depth = one.parent, self.depth - 1
+        while self.at is not one.parent:
+            self.open[self.at.tag] -= 1
+            self.at = self.at.parent
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS:
             self._close({"p"}, {"td", "th", "table", "button", "li", "div", "article", "section"})
         if tag in _CLOSES:
             self._close(*_CLOSES[tag])
-        if self.depth >= MAX_DEPTH and tag not in VOID:
-            return
         one = Element(tag, {}, self.at)
         for name, value in attrs:
             one.attrs.setdefault(name, value or "")
         self.at.children.append(one)
         if tag not in VOID:
-            self.at, self.depth = one, self.depth + 1
+            self.at = one
+            self.open[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
-        one = self.at
+        one = self.at if self.open[tag] else self.root
         while one.parent is not None:
             if one.tag == tag:
                 self._leave(one)

@@ -65,13 +65,25 @@ def crawl_levels(seeds: DataFrame, edges: DataFrame, levels: int | None = None)
     return visited
 
 
-def crawl_pages(seeds: DataFrame, pages: DataFrame, accept: str | None = None, reject: str | None = None, levels: int | None = None) -> DataFrame:
-    """(url, depth, status): crawls ``pages(url, html)`` from ``seeds(url)``; status is visited, missing or rejected."""
-    held = pages.select("url", "html").dropDuplicates(["url"])
-    edges = cut_lineage(page_links(held, accept, reject).select("url", "link"))
-    reached = crawl_levels(seeds, edges, levels)
-    status = F.when(~urls.accepted(F.col("url"), accept, reject), "rejected").when(F.col("__held"), "visited").otherwise("missing")
-    return reached.join(held.select("url", F.lit(True).alias("__held")), "url", "left").select("url", "depth", status.alias("status"))
+def crawl_pages(
+    seeds: DataFrame, pages: DataFrame, accept: str | None = None, reject: str | None = None, levels: int | None = None, *,
+    replacements: list[tuple[str, str]] | None = None, window: tuple[str, str] | None = None, pattern: str = dates.DATE_PATTERN, max_body: int = 0,
+) -> DataFrame:
+    """(url, depth, status): crawls ``pages(url, html)`` from ``seeds(url)``.
+
+    Status is visited, failed (accepted, but there is no page), rejected (by its
+    url) or, with a ``window``, date_rejected: the page's latest date lies
+    outside or it has none; its links are followed nevertheless.  Links are
+    rewritten by ``replacements`` if they are accepted, and seeds too.  Bodies
+    are cut to ``max_body`` bytes first (0: not at all).
+    """
+    rewritten = lambda c: F.when(urls.accepted(c, accept, reject), urls.rewrite(c, replacements)).otherwise(c) if replacements else c
+    held = limited_body(pages.select("url", "html").dropDuplicates(["url"]), max_body)
+    edges = cut_lineage(page_links(held, accept, reject).select("url", rewritten(F.col("link")).alias("link")).distinct())
+    reached = crawl_levels(seeds.select(rewritten(F.col("url")).alias("url")), edges, levels)
+    there = dated(held, *window, pattern=pattern).select("url", "in_window") if window else held.select("url", F.lit(True).alias("in_window"))
+    status = F.when(~urls.accepted(F.col("url"), accept, reject), "rejected").when(F.col("in_window").isNull(), "failed").when(~F.col("in_window"), "date_rejected").otherwise("visited")
+    return reached.join(there.withColumn("in_window", F.coalesce("in_window", F.lit(False))), "url", "left").select("url", "depth", status.alias("status"))
 
 
 def bootstrapped(stored: DataFrame, seed_pages: DataFrame, accept: str | None = None, reject: str | None = None) -> DataFrame:

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import dom
@@ -30,74 +29,89 @@ class Extraction:
         for text in (*self.accept, *self.reject, *filter(None, (self.missing, self.categories))):
             dom.selector(text)
 
-    def apply(self, html: str | None) -> tuple[str | None, list[str]]:
-        root = dom.parse(html)
+    def apply(self, root: dom.Element) -> tuple[str | None, list[str]]:
         if self.missing and dom.select(root, self.missing):
             return None, []
         named = dom.categories(root, self.categories) if self.categories else []
         return dom.selected_text(root, self.accept, self.reject, self.mode), named
 
 
-def selected(pages: DataFrame, how: Extraction, key: str = "page_id") -> DataFrame:
-    """(key, text, categories) by selectors; a null text says that no selector matched."""
-    rows = pages.select(key, "html")
+BLOCK = "struct<block:string,words:long,link_words:long>"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [how.apply(x.as_py()) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([t for t, _ in made], pa.string()), pa.array([c for _, c in made], pa.list_(pa.string()))], names=[key, "text", "categories"])
 
-    return rows.mapInArrow(run, f"{key} {rows.schema[key].dataType.simpleString()}, text string, categories array<string>")
+def _blocks(root: dom.Element) -> list[dict]:
+    return [{"block": text, "words": words, "link_words": linked} for text, words, linked in dom.blocks(root)]
+
+
+def page_blocks(pages: DataFrame, key: str = "page_id") -> DataFrame:
+    """(key, blocks) of every page: its runs of text between block elements, with their words and words in links."""
+    return _read(pages, key, lambda html: (None, [], _blocks(dom.parse(html)))).select(key, "blocks")
+
+
+def content_text(blocks: Column) -> Column:
+    """The content blocks of ``blocks``, joined by line ends: the published decision tree over words and link density of a block and its neighbours.
+
+    Neighbours are looked up in the array: nothing is shuffled for a page.
+    """
+    density = lambda x: F.coalesce(x["link_words"] / F.greatest(x["words"], F.lit(1)), F.lit(0.0))
+    words = lambda x: F.coalesce(x["words"], F.lit(0))
+
+    def content(x: Column, i: Column) -> Column:
+        before, after = F.get(blocks, i - 1), F.get(blocks, i + 1)
+        after_links = (words(x) > 17) | ((density(after) <= 1 / 3) & (words(after) > 17))
+        after_text = (words(x) > 16) | (words(after) > 15) | (words(before) > 4)
+        return F.when(density(x) > 1 / 3, False).when(density(before) > 5 / 9, after_links).otherwise(after_text)
+
+    return F.array_join(F.transform(F.filter(blocks, content), lambda x: x["block"]), "\n")
 
 
-def text_blocks(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    """(key, block_no, block, words, link_words) of every page."""
+def main_text(pages: DataFrame, key: str = "page_id") -> DataFrame:
+    """(key, text): content blocks of each page, joined by line ends; empty if there are none."""
+    return page_blocks(pages, key).select(key, content_text(F.col("blocks")).alias("text"))
+
+
+def _read(pages: DataFrame, key: str, made: Callable[[str | None], tuple]) -> DataFrame:
+    """(key, text, categories, blocks) as ``made`` gives them for each page's html."""
     rows = pages.select(key, "html")
+    kinds = pa.list_(pa.struct([("block", pa.string()), ("words", pa.int64()), ("link_words", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, at, text, words, linked = [], [], [], [], []
-            for row, html in enumerate(batch.column(1)):
-                for n, (block, w, l) in enumerate(dom.blocks(dom.parse(html.as_py()))):
-                    ids.append(row), at.append(n), text.append(block), words.append(w), linked.append(l)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(ids, pa.int64())), pa.array(at, pa.int64()), pa.array(text, pa.string()), pa.array(words, pa.int64()), pa.array(linked, pa.int64())],
-                names=[key, "block_no", "block", "words", "link_words"],
-            )
-
-    return rows.mapInArrow(run, f"{key} {rows.schema[key].dataType.simpleString()}, block_no long, block string, words long, link_words long")
-
-
-def content_blocks(blocks: DataFrame, key: str = "page_id") -> DataFrame:
-    """Adds ``content``: the published decision tree over words and link density of a block and its neighbours."""
-    near = W.partitionBy(key).orderBy("block_no")
-    density = F.col("link_words") / F.greatest(F.col("words"), F.lit(1))
-    rows = blocks.withColumn("__d", density)
-    pw, pd_ = F.coalesce(F.lag("words").over(near), F.lit(0)), F.coalesce(F.lag("__d").over(near), F.lit(0.0))
-    nw, nd = F.coalesce(F.lead("words").over(near), F.lit(0)), F.coalesce(F.lead("__d").over(near), F.lit(0.0))
-    w, d = F.col("words"), F.col("__d")
-    after_links = F.when(w > 40, True).when(w > 17, True).otherwise((nd <= 1 / 3) & (nw > 17))
-    after_text = F.when(w > 16, True).when(nw > 15, True).otherwise(pw > 4)
-    content = F.when(d > 1 / 3, False).when(pd_ > 5 / 9, after_links).otherwise(after_text)
-    return rows.withColumn("content", content).drop("__d")
+            out = [made(x.as_py()) for x in batch.column(1)]
+            columns = [pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.list_(pa.string())), pa.array([x[2] for x in out], kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=[key, "text", "categories", "blocks"])
 
+    return rows.mapInArrow(run, f"{key} {rows.schema[key].dataType.simpleString()}, text string, categories array<string>, blocks array<{BLOCK}>")
 
-def main_text(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    """(key, text): content blocks of each page, joined by line ends; empty if there are none."""
-    judged = content_blocks(text_blocks(pages, key), key)
-    texts = judged.filter("content").groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block_no", "block"))), lambda x: x["block"]), "\n").alias("text"))
-    return pages.select(key).join(texts, key, "left").select(key, F.coalesce("text", F.lit("")).alias("text"))
+
+def selected(pages: DataFrame, how: Extraction, key: str = "page_id") -> DataFrame:
+    """(key, text, categories) by selectors; a null text says that no selector matched."""
+    return _read(pages, key, lambda html: (*how.apply(dom.parse(html)), None)).select(key, "text", "categories")
 
 
-def parsed(pages: DataFrame, how: Extraction, strategy: str = SELECTORS, key: str = "page_id") -> DataFrame:
-    """(key, text, categories) by a strategy.  The mixed one judges blocks only of pages for which the selectors give null (not: empty)."""
+def parsed(pages: DataFrame, how: Extraction, strategy: str | Callable[[str | None], str | None] = SELECTORS, key: str = "page_id") -> DataFrame:
+    """(key, text, categories) by a strategy, in one pass over the pages.
+
+    The mixed one judges blocks only of pages for which the selectors give null
+    (not: empty).  A function from html to text is a strategy of one's own.
+    """
+    none = F.array().cast("array<string>")
+    if callable(strategy):
+        own = strategy
+        return _read(pages, key, lambda html: (own(html), [], None)).select(key, "text", "categories")
     if strategy == BOILERPLATE:
-        return main_text(pages, key).withColumn("categories", F.array().cast("array<string>"))
+        return main_text(pages, key).withColumn("categories", none)
     if strategy not in (SELECTORS, MIXED):
         raise ValueError(f"unknown strategy: {strategy}")
-    by_selectors = selected(pages, how, key)
     if strategy == SELECTORS:
-        return by_selectors
-    missed = pages.join(by_selectors.filter("text is null").select(key), key, "left_semi")
-    rest = main_text(missed, key).withColumn("categories", F.array().cast("array<string>"))
-    return by_selectors.filter("text is not null").unionByName(rest)
+        return selected(pages, how, key)
+
+    def mixed(html: str | None) -> tuple:
+        whole = dom.parse(html)
+        # Leaving out elements changes the tree, of which the blocks are the whole.
+        blocks = _blocks(whole)
+        text, named = how.apply(whole)
+        return (text, named, None) if text is not None else (None, [], blocks)
+
+    rows = _read(pages, key, mixed)
+    return rows.select(key, F.coalesce("text", content_text(F.col("blocks"))).alias("text"), "categories")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import dom, urls
+from corpusloom.functions import text as T
 from corpusloom.operators import crawl, documents, extract, pairs, wiki
 from corpusloom.operators.order import shared_folder, spread
 from corpusloom.plans.registry import query
@@ -103,7 +104,7 @@ def crawl_bfs_depth(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""WITH {_LINKS}, one AS (SELECT unnest(links) AS url FROM resolved WHERE url IS NOT NULL),
 held AS (SELECT DISTINCT url FROM pages WHERE url IS NOT NULL),
 seen AS (SELECT url, CAST(0 AS BIGINT) AS depth FROM held UNION ALL SELECT DISTINCT url, CAST(1 AS BIGINT) FROM one WHERE url NOT IN (SELECT url FROM held))
-SELECT url, depth, CASE WHEN depth = 0 THEN 'visited' ELSE 'missing' END AS status FROM seen""")
+SELECT url, depth, CASE WHEN depth = 0 THEN 'visited' ELSE 'failed' END AS status FROM seen""")
 def crawl_status(spark: SparkSession, folder: str) -> DataFrame:
     """A crawl from all pages: which links have been visited, and which lead nowhere."""
     pages = _pages(spark, folder).filter("url is not null")
@@ -165,6 +166,20 @@ def title_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return wiki.distinct_titles(made, ["page_id"])
 
 
+TRADITIONAL = "結構化程式設計"
+
+
+@query(f"""WITH made AS (SELECT page_id, regexp_extract(url, '^(https?://[^/]*)', 1) || '/zh-cn/' || substr('{TRADITIONAL}', CAST(1 + page_id % 7 AS BIGINT)) AS url FROM pages),
+titled AS (SELECT *, translate(substr(url, instr(url, '/zh-cn/') + 7), '結構設計', '结构设计') AS title FROM made),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY title ORDER BY page_id) AS nth FROM titled)
+SELECT page_id, url, title FROM ranked WHERE nth = 1""")
+def title_simplified(spark: SparkSession, folder: str) -> DataFrame:
+    """The first page of each title in simplified script; the addresses are derived and in traditional script."""
+    site = F.regexp_extract("url", "^(https?://[^/]*)", 1)
+    made = _pages(spark, folder).select("page_id", F.concat(site, F.lit("/zh-cn/"), F.expr(f"substr('{TRADITIONAL}', CAST(1 + page_id % 7 AS INT))")).alias("url"))
+    return wiki.distinct_titles(made, ["page_id"], T.simplified_table(spark, TRADITIONAL))
+
+
 @query("SELECT page_id, CAST(floor((row_number() OVER (ORDER BY page_id) - 1) / 100) AS BIGINT) AS batch FROM pages")
 def page_rollover(spark: SparkSession, folder: str) -> DataFrame:
     """Batches of a hundred pages."""

@@ -66,5 +66,11 @@ def write_parts(docs: DataFrame, path: str) -> None:
 
 
 def write_status(urls_: DataFrame, path: str) -> None:
-    """The log of urls by status: visited, rejected, missing."""
+    """The log of urls by status: visited, failed, rejected, date_rejected."""
     urls_.write.mode("append").partitionBy("status").parquet(path)
+
+
+def write_metrics(spark: SparkSession, job: str, values: dict[str, int], path: str) -> None:
+    """Appends what a job has counted (as of ``Observation.get``) as rows: ts, job, name, value."""
+    rows = spark.createDataFrame([(job, k, int(v)) for k, v in sorted(values.items())], "job string, name string, value long")
+    rows.select(F.current_timestamp().alias("ts"), "*").write.mode("append").parquet(path)

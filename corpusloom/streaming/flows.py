@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from corpusloom.functions import urls
 from corpusloom.operators.crawl import page_links
@@ -57,3 +57,23 @@ def archive_writer(path: str, rows: int, rules: Callable[[], tuple[str | None, s
         kept.write.mode("overwrite").option("maxRecordsPerFile", rows).parquet(f"{path}/batch={number}")
 
     return write
+
+
+class Ticks(StreamingQueryListener):
+    """Gives the rows and the rows a second of every tick of all queries to a function, as a rolling log."""
+
+    def __init__(self, sink: Callable[[dict], None]):
+        self.sink = sink
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        p = event.progress
+        self.sink({"query": str(p.id), "tick": p.batchId, "rows": p.numInputRows, "per_second": p.processedRowsPerSecond})
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass

@@ -312,12 +312,42 @@ def test_strategies(spark):
     assert {r.page_id: r.category_line for r in wiki.category_line(named).collect()} == {1: "Category::甲,乙", 2: "Category::"}
 
 
+def test_strategy_of_ones_own(spark):
+    pages = spark.createDataFrame([(1, "<p>x</p>"), (2, None)], "page_id long, html string")
+    got = extract.parsed(pages, extract.Extraction(), lambda html: html and html.upper()).collect()
+    assert {r.page_id: (r.text, r.categories) for r in got} == {1: ("<P>X</P>", []), 2: (None, [])}
+
+
+def test_selectors_reach_any_depth():
+    html = "<div><b>" * 30_000 + '<p class="deep">x</p>' + "</b></div>" * 30_000
+    assert dom.selected_text(dom.parse(html), ["p.deep"], []) == "x\n"
+
+
+def test_mixed_strategy_reads_pages_once(spark):
+    pages = spark.createDataFrame([(1, "<p>x</p>")], "page_id long, html string")
+    plan = extract.parsed(pages, extract.Extraction(accept=["article"]), extract.MIXED)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Join" not in plan and "Window" not in plan
+
+
+def test_crawl_with_window_and_rewrites(spark):
+    page = lambda date, *links: f"{date} " + "".join(f'<a href="{x}">' for x in links)
+    web = {"https://h/s": page("2024-05-01", "http://h/a?x=1", "http://h/b", "/gone", "/no"), "https://h/a": page("2020-01-01", "/c"), "https://h/b": page("no date"), "https://h/c": page("2024-06-01")}
+    pages = spark.createDataFrame(list(web.items()), "url string, html string")
+    seeds = spark.createDataFrame([("http://h/s",), ("http://h/no",)], "url string")
+    rules = [("^http:", "https:"), (r"[?].*$", "")]
+    got = {r.url: (r.depth, r.status) for r in crawl.crawl_pages(seeds, pages, reject="/no$", replacements=rules, window=("2024-01-01", "2024-12-31")).collect()}
+    assert got == {
+        "https://h/s": (0, "visited"), "http://h/no": (0, "rejected"), "https://h/a": (1, "date_rejected"), "https://h/b": (1, "date_rejected"),
+        "https://h/gone": (1, "failed"), "https://h/c": (2, "visited"),
+    }
+
+
 def test_crawl(spark):
     web = {"s": ["a", "b"], "a": ["b", "c"], "b": ["s"], "c": ["gone", "no"]}
     pages = spark.createDataFrame([(f"http://h/{u}", "".join(f'<a href="/{x}">' for x in out)) for u, out in web.items()], "url string, html string")
     seeds = spark.createDataFrame([("http://h/s",)], "url string")
     got = {r.url[9:]: (r.depth, r.status) for r in crawl.crawl_pages(seeds, pages, reject="/no$").collect()}
-    assert got == {"s": (0, "visited"), "a": (1, "visited"), "b": (1, "visited"), "c": (2, "visited"), "gone": (3, "missing")}
+    assert got == {"s": (0, "visited"), "a": (1, "visited"), "b": (1, "visited"), "c": (2, "visited"), "gone": (3, "failed")}
     assert {r.url[9:] for r in crawl.crawl_pages(seeds, pages, levels=1).collect()} == {"s", "a", "b"}
     found, missing = crawl.fetched(spark.createDataFrame([("http://h/a",), ("http://h/x",)], "url string"), pages)
     assert found.count() == 1 and [r.url for r in missing.collect()] == ["http://h/x"]
@@ -402,3 +432,12 @@ def test_commands(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).first().verdict == "kept"
     with pytest.raises(SystemExit):
         main(["unknown", "a", "b"])
+    web = {"http://h/s": '<a href="/a">', "http://h/a": "", "http://h/other": ""}
+    spark.createDataFrame(list(web.items()), "url string, html string").write.parquet(str(tmp_path / "web"))
+    (tmp_path / "crawl.json").write_text('{"seeds": ["http://h/s"], "reject": ["/x$"]}')
+    main(["crawl", str(tmp_path / "web"), str(tmp_path / "reached"), "--config", str(tmp_path / "crawl.json"), "--metrics", str(tmp_path / "metrics")])
+    assert {r.url for r in spark.read.parquet(str(tmp_path / "reached")).collect()} == {"http://h/s", "http://h/a"}
+    assert [(r.job, r.name, r.value) for r in spark.read.parquet(str(tmp_path / "metrics")).collect()] == [("crawl", "rows", 2)]
+    (tmp_path / "bad.json").write_text('{"queue": 1}')
+    with pytest.raises(ValueError):
+        main(["crawl", str(tmp_path / "web"), str(tmp_path / "no"), "--config", str(tmp_path / "bad.json")])

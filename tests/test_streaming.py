@@ -1,5 +1,7 @@
 """Streams: restart, removal of repeats over micro-batches, changed rules."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from corpusloom.streaming import flows
@@ -45,3 +47,20 @@ def test_clean_lines_and_rates(spark, tmp_path):
     events = spark.readStream.schema("ts timestamp").parquet(str(tmp_path / "e"))
     flows.rates(events).writeStream.format("memory").queryName("rates").outputMode("complete").option("checkpointLocation", str(tmp_path / "d")).trigger(availableNow=True).start().awaitTermination()
     assert sorted((r.n, r.per_minute) for r in spark.table("rates").collect()) == [(1, 6), (2, 12)]
+
+
+def test_ticks_are_told(spark, tmp_path):
+    source, told = str(tmp_path / "in"), []
+    spark.createDataFrame([(1, "的一是不了在a")], "doc_id long, text string").write.parquet(source)
+    listener = flows.Ticks(told.append)
+    spark.streams.addListener(listener)
+    try:
+        stream = spark.readStream.schema("doc_id long, text string").parquet(source)
+        stream.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+        for _ in range(100):
+            if any(x["rows"] == 1 for x in told):
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    assert any(x["rows"] == 1 for x in told)
