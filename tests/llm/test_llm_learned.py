@@ -413,11 +413,39 @@ def test_pipeline_stages(spark):
     kept = {r.doc_id for r in stages["minhash near-dedup"](spark, docs, SF).collect()}
     assert kept == {c for i, n, c in _components([(i, r.text) for i, r in table.items()], 5, 80)}
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    contents = langid.dictionaries(docs)
+    rejected = {r.doc_id: r.rejected for r in langid.identify(docs, contents).collect()}
+    spoken = stages["language id"](spark, docs, SF)
+    assert spoken.columns == docs.columns and {r.doc_id for r in spoken.collect()} == {i for i, no in rejected.items() if not no}
+    import public_tokenizers
+    import tiktoken
+    from tiktoken.load import load_tiktoken_bpe
+
+    library = tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_tiktoken_bpe(public_tokenizers.path("byte_bpe_50k.tiktoken")), special_tokens={})
+    encoded = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in stages["byte-level bpe"](spark, docs.filter("doc_id % 5 = 0"), SF).collect()}
+    assert len(encoded) == sum(i % 5 == 0 for i in table)
+    for i, got in encoded.items():
+        text = table[i].text or ""
+        ids = library.encode_ordinary(text)
+        assert got == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
     clean = {r.doc_id for r in stages["benchmark decontamination"](spark, docs, SF).collect()}
     assert clean == {i for i, _, n, *_ in _hits([(i, r.text) for i, r in table.items()], items) if n == 0}
     docs.unpersist()
 
 
+def test_pipeline_stages_judge_rows_without_an_id(spark):
+    stages = dict(corpus_pipeline.STAGES)
+    long = [f"w{k}" for k in range(100)]
+    rows = [(None, " ".join(long), "en"), (None, " ".join([*long, "more"]), "en"), (None, "alone here", "en"), (None, "", "en"), (7, "alone here", "en"), (None, " ".join(long), "en")]
+    kept = stages["minhash near-dedup"](spark, _odd(spark, rows), SF).collect()
+    # One row of the group without any id, the row with an id of the other, and the row without words.
+    assert sorted((repr(r.doc_id), len(r.text) < 100) for r in kept) == [("7", True), ("None", False), ("None", True)]
+    leak = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first().text
+    rows = [(None, leak, "en"), (None, "clean text", "en"), (3, f"so {leak} so", "en"), (3, "clean as well", "en")]
+    clean = stages["benchmark decontamination"](spark, _odd(spark, rows), SF).collect()
+    assert sorted(r.text for r in clean) == ["clean as well", "clean text"]
+
+
 def test_pipeline_of_odd_rows(spark, tmp_path):
     extra = _odd(spark).withColumnRenamed("words", "rejected").withColumnRenamed("label", "row")
     for rows in (extra, extra.limit(0)):

@@ -139,3 +139,11 @@ def test_another_template(spark):
     frame = spark.createDataFrame([(1, 0, "user", "<|a|> ^ <end>"), (1, 1, "system", "|")], "conv_id long, turn long, role string, text string")
     (row,) = chat.read_back(chat.segments(frame, template), template).collect()
     assert row.turns_sha256 == _turns([("user", "<|a|> ^ <end>"), ("system", "|")]) and row.loss_chars == 13 and not row.valid
+
+
+def test_counts_of_no_rows_and_of_null_ids(spark):
+    kind = "doc_id long, text string, n_tokens string"
+    rows = [(None, "a b", "x"), (None, "a b", "x"), (1, None, "x"), (1, "", "x"), (2, "word " * 30_000, "x")]
+    got = sorted((repr(r.doc_id), r.n_bytes, r.over_limit) for r in tokencount.token_counts(spark.createDataFrame(rows, kind)).collect())
+    assert got == sorted((repr(i), len((t or "").encode()), i == 2) for i, t, _ in rows)
+    assert tokencount.token_counts(spark.createDataFrame([], kind)).count() == 0
