@@ -329,6 +329,16 @@ def test_mixed_strategy_reads_pages_once(spark):
     assert plan.count("MapInArrow") == 1 and "Join" not in plan and "Window" not in plan
 
 
+def test_lines_are_converted_once_a_use(spark):
+    from corpusloom.plans import registry
+
+    folder = "/root/testdata/sf0.001"
+    for name, scans in (("line_filter", 2), ("illegal_histogram", 1), ("doc_reassemble", 1)):
+        plan = registry.QUERIES[name](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+        # One to derive the text and one to convert the lines, for each scan.
+        assert plan.count("Relation") == scans and plan.count("translate(") <= 2 * scans
+
+
 def test_crawl_with_window_and_rewrites(spark):
     page = lambda date, *links: f"{date} " + "".join(f'<a href="{x}">' for x in links)
     web = {"https://h/s": page("2024-05-01", "http://h/a?x=1", "http://h/b", "/gone", "/no"), "https://h/a": page("2020-01-01", "/c"), "https://h/b": page("no date"), "https://h/c": page("2024-06-01")}
