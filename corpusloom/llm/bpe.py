@@ -16,14 +16,13 @@ import base64
 import hashlib
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from corpusloom.llm.pieces import Memo, cut
-from corpusloom.llm.shared import sliced
+from corpusloom.llm.pieces import Memo
+from corpusloom.llm.shared import sliced, sole
 
 _NONE = 1 << 62
 
@@ -44,15 +43,14 @@ class BytePairCodec:
         self._automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for token, rank in self._ranks_of.items():
             self._automaton.add_word(token, rank)
-        self._best = Memo(self._longest_of)
+        self._best = Memo(self._longest_of, max_chars=10_000_000)
         self._shorter = self._prefixes()
         self._pair: dict[tuple[int, int], int] = {}
         self._halves: dict[int, tuple[int, int]] = {}
         self._may_follow: dict[tuple[int, int], bool] = {}
         self._unmerge()
         self._may_follow.clear()
-        self._words = Memo(self._encode_match)
-        self._pieces = Memo(self._encode_piece)
+        self._words = Memo(self._encode_match, max_chars=40_000_000)
 
     def _prefixes(self) -> dict[int, int]:
         """For each token the longest other token that begins it, or -1."""
@@ -106,7 +104,7 @@ class BytePairCodec:
     def _follows(self, left: int, right: int) -> bool:
         known = self._may_follow.get((left, right))
         if known is None:
-            if len(self._may_follow) > 2_000_000:
+            if len(self._may_follow) > 500_000:
                 self._may_follow.clear()
             known = self._may_follow[left, right] = self._compatible(left, right)
         return known
@@ -144,13 +142,9 @@ class BytePairCodec:
                 at -= lengths[token]
                 last = out[-1] if out else -1
 
-    def _encode_piece(self, piece: str) -> bytes:
-        words = self._words
-        return b"".join([words[match] for match in self._split(piece)])
-
     def encode_bytes(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit integers; null is as empty."""
-        return b"".join(map(self._pieces.__getitem__, cut(text))) if text else b""
+        return b"".join(map(self._words.__getitem__, self._split(text))) if text else b""
 
     def encode(self, text: str | None) -> list[int]:
         return np.frombuffer(self.encode_bytes(text), "<u4").tolist()
@@ -159,7 +153,7 @@ class BytePairCodec:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
-@lru_cache(maxsize=2)
+@sole
 def codec(name: str) -> BytePairCodec:
     """The codec of a rank file of the public tokenizers, built once in each Python worker."""
     import public_tokenizers

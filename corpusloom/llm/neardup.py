@@ -22,7 +22,6 @@ union estimates the similarity, and the full sets decide.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 from math import comb
 
 import numpy as np
@@ -31,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.pieces import Memo
-from corpusloom.llm.shared import components, sliced
+from corpusloom.llm.shared import components, sliced, sole
 from corpusloom.operators.order import cut_lineage
 
 #: Values listed, and values kept for the estimate.
@@ -50,7 +49,7 @@ def _word_hash(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word)
 
 
-@lru_cache(maxsize=1)
+@sole
 def _word_hashes() -> Memo:
     return Memo(_word_hash, max_chars=20_000_000)
 

@@ -26,18 +26,26 @@ def cut(text: str) -> list[str]:
 
 
 class Memo(dict):
-    """A dict that computes what it lacks and forgets everything beyond a bound of characters."""
+    """A dict that computes what it lacks and holds a bounded number of characters.
 
-    def __init__(self, compute: Callable, max_chars: int = 60_000_000):
+    At half of the bound what is held becomes old.  What is asked for again
+    moves from there to the new half; the rest goes when that is full too.
+    """
+
+    def __init__(self, compute: Callable, max_chars: int = 20_000_000):
         super().__init__()
-        self._compute, self._left, self._max = compute, max_chars, max_chars
+        self._compute, self._half = compute, max_chars // 2
+        self._left, self._old = self._half, {}
 
     def __missing__(self, key: str):
-        value = self._compute(key)
+        value = self._old.get(key)
+        if value is None:
+            value = self._compute(key)
         if len(key) <= 256:
             self._left -= len(key) + 100
             if self._left < 0:
+                self._old = dict(self)
                 self.clear()
-                self._left = self._max
+                self._left = self._half
             self[key] = value
         return value

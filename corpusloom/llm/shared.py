@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -16,7 +18,35 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.R
     for batch in batches:
         for start in range(0, max(1, batch.num_rows), rows):
             yield batch.slice(start, rows)
+    given_back()
+
+
+def given_back() -> None:
+    """Gives the memory that Arrow and the C library hold unused back to the system."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
+_sole: list = []
+
+
+def sole(build: Callable) -> Callable:
+    """Remembers the last value that ``build`` gave in this process, and forgets that of any other function with this mark.
+
+    Python workers outlive their stage: else they would hold the tables of all stages that they have served.
+    """
+
+    @wraps(build)
+    def value(*args):
+        if not _sole or _sole[:2] != [build, args]:
+            _sole.clear()
+            given_back()
+            _sole[:] = [build, args, build(*args)]
+        return _sole[2]
+
+    return value
 
 
 def unused(names: list[str], taken: list[str]) -> list[str]:

@@ -147,3 +147,30 @@ def test_counts_of_no_rows_and_of_null_ids(spark):
     got = sorted((repr(r.doc_id), r.n_bytes, r.over_limit) for r in tokencount.token_counts(spark.createDataFrame(rows, kind)).collect())
     assert got == sorted((repr(i), len((t or "").encode()), i == 2) for i, t, _ in rows)
     assert tokencount.token_counts(spark.createDataFrame([], kind)).count() == 0
+
+
+def test_a_worker_holds_the_tables_of_one_stage():
+    import gc
+    import weakref
+
+    from corpusloom.llm import neardup
+
+    neardup.shingles("some words of a text", 3)
+    words = weakref.ref(neardup._word_hashes())
+    first = weakref.ref(bpe.codec("byte_bpe_50k.tiktoken"))
+    gc.collect()
+    assert words() is None and bpe.codec("byte_bpe_50k.tiktoken") is first()
+    neardup.shingles("some words of a text", 3)
+    gc.collect()
+    assert first() is None
+
+
+def test_memory_of_words_is_bounded_and_keeps_what_is_used():
+    from corpusloom.llm.pieces import Memo
+
+    computed = []
+    memo = Memo(lambda key: computed.append(key) or key.upper(), max_chars=100_000)
+    for i in range(20_000):
+        assert memo[f"word{i}"] == f"WORD{i}" and memo["often"] == "OFTEN"
+        assert (len(memo) + len(memo._old)) * 100 <= 100_000
+    assert computed.count("often") == 1 and len(computed) == 20_001
