@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+#: Whether the files that a query has shuffled go when it ends.
+_SWEPT = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
@@ -24,11 +27,21 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """checkpoint() into the shared folder."""
-    context = df.sparkSession.sparkContext
+    """checkpoint() into the shared folder.
+
+    What the query has shuffled is removed at once: nothing reads it again, and
+    else it stays on the disks until the driver happens to collect its garbage.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+        context.setCheckpointDir(shared_folder(spark))
+    before = spark.conf.get(_SWEPT, None)
+    spark.conf.set(_SWEPT, "true")
+    try:
+        return df.select("*").checkpoint()  # a plan of its own, which no other query shares
+    finally:
+        spark.conf.unset(_SWEPT) if before is None else spark.conf.set(_SWEPT, before)
 
 
 def spread(df: DataFrame) -> DataFrame:

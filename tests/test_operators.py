@@ -451,3 +451,23 @@ def test_commands(spark, tmp_path):
     (tmp_path / "bad.json").write_text('{"queue": 1}')
     with pytest.raises(ValueError):
         main(["crawl", str(tmp_path / "web"), str(tmp_path / "no"), "--config", str(tmp_path / "bad.json")])
+
+
+def test_a_cut_lineage_leaves_no_shuffled_files(spark):
+    import glob
+    import time
+
+    from corpusloom.operators.order import cut_lineage
+
+    folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    files = lambda: {x for d in folders for x in glob.glob(f"{d}/*/shuffle_*")}
+    before = files()
+    df = spark.range(5_000).selectExpr("id % 700 AS k").groupBy("k").count()
+    cut = cut_lineage(df)
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert cut.count() == 700 and df.count() == 700
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
