@@ -17,13 +17,14 @@ SELECTORS, BOILERPLATE, MIXED = "jparser", "bparser", "mixparser"
 
 @dataclass(frozen=True)
 class Extraction:
-    """Selectors of elements to take and to leave out, how text is written, what marks a missing page, and where categories stand."""
+    """Selectors of elements to take and to leave out, how text is written, what marks a missing page, where categories stand, and whether only closed references are read."""
 
     accept: list[str] = field(default_factory=list)
     reject: list[str] = field(default_factory=list)
     mode: str = "visitor"
     missing: str | None = None
     categories: str | None = None
+    closed: bool = False
 
     def __post_init__(self) -> None:
         for text in (*self.accept, *self.reject, *filter(None, (self.missing, self.categories))):
@@ -43,9 +44,9 @@ def _blocks(root: dom.Element) -> list[dict]:
     return [{"block": text, "words": words, "link_words": linked} for text, words, linked in dom.blocks(root)]
 
 
-def page_blocks(pages: DataFrame, key: str = "page_id") -> DataFrame:
+def page_blocks(pages: DataFrame, key: str = "page_id", closed: bool = False) -> DataFrame:
     """(key, blocks) of every page: its runs of text between block elements, with their words and words in links."""
-    return _read(pages, key, lambda html: (None, [], _blocks(dom.parse(html)))).select(key, "blocks")
+    return _read(pages, key, lambda html: (None, [], _blocks(dom.parse(html, closed)))).select(key, "blocks")
 
 
 def content_text(blocks: Column) -> Column:
@@ -65,9 +66,9 @@ def content_text(blocks: Column) -> Column:
     return F.array_join(F.transform(F.filter(blocks, content), lambda x: x["block"]), "\n")
 
 
-def main_text(pages: DataFrame, key: str = "page_id") -> DataFrame:
+def main_text(pages: DataFrame, key: str = "page_id", closed: bool = False) -> DataFrame:
     """(key, text): content blocks of each page, joined by line ends; empty if there are none."""
-    return page_blocks(pages, key).select(key, content_text(F.col("blocks")).alias("text"))
+    return page_blocks(pages, key, closed).select(key, content_text(F.col("blocks")).alias("text"))
 
 
 def _read(pages: DataFrame, key: str, made: Callable[[str | None], tuple]) -> DataFrame:
@@ -86,7 +87,7 @@ def _read(pages: DataFrame, key: str, made: Callable[[str | None], tuple]) -> Da
 
 def selected(pages: DataFrame, how: Extraction, key: str = "page_id") -> DataFrame:
     """(key, text, categories) by selectors; a null text says that no selector matched."""
-    return _read(pages, key, lambda html: (*how.apply(dom.parse(html)), None)).select(key, "text", "categories")
+    return _read(pages, key, lambda html: (*how.apply(dom.parse(html, how.closed)), None)).select(key, "text", "categories")
 
 
 def parsed(pages: DataFrame, how: Extraction, strategy: str | Callable[[str | None], str | None] = SELECTORS, key: str = "page_id") -> DataFrame:
@@ -100,14 +101,14 @@ def parsed(pages: DataFrame, how: Extraction, strategy: str | Callable[[str | No
         own = strategy
         return _read(pages, key, lambda html: (own(html), [], None)).select(key, "text", "categories")
     if strategy == BOILERPLATE:
-        return main_text(pages, key).withColumn("categories", none)
+        return main_text(pages, key, how.closed).withColumn("categories", none)
     if strategy not in (SELECTORS, MIXED):
         raise ValueError(f"unknown strategy: {strategy}")
     if strategy == SELECTORS:
         return selected(pages, how, key)
 
     def mixed(html: str | None) -> tuple:
-        whole = dom.parse(html)
+        whole = dom.parse(html, how.closed)
         # Leaving out elements changes the tree, of which the blocks are the whole.
         blocks = _blocks(whole)
         text, named = how.apply(whole)

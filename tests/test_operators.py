@@ -339,6 +339,20 @@ def test_lines_are_converted_once_a_use(spark):
         assert plan.count("Relation") == scans and plan.count("translate(") <= 2 * scans
 
 
+@pytest.mark.parametrize("name", ["boilerplate_text"])
+def test_references_without_semicolon_as_in_sql(same_as_sql, spark, tmp_path, name):
+    from corpusloom.plans import registry
+
+    words = "word " * 20
+    body = f"<article><h1>{words}a &amp;&amp</h1><p>{words}&lt &copy; &am &amplt; &quot</p></article>"
+    page = f"<html><head><title>t</title></head><body><nav><ul><li>b&amp</li></ul></nav>{body}</body></html>"
+    spark.createDataFrame([(1, page)], "page_id long, html string").coalesce(1).write.parquet(f"{tmp_path}/w")
+    next((tmp_path / "w").glob("*.parquet")).rename(tmp_path / "pages.parquet")
+    assert same_as_sql(registry.QUERIES[name], registry.ORACLES[name], str(tmp_path)) == 1
+    assert dom.plain_text(dom.parse("&amp &notit; &#39; &#39x")) == "& ¬it; ' 'x"
+    assert dom.plain_text(dom.parse("&amp &notit; &#39; &#39x", closed=True)) == "&amp &notit; ' &#39x"
+
+
 def test_crawl_with_window_and_rewrites(spark):
     page = lambda date, *links: f"{date} " + "".join(f'<a href="{x}">' for x in links)
     web = {"https://h/s": page("2024-05-01", "http://h/a?x=1", "http://h/b", "/gone", "/no"), "https://h/a": page("2020-01-01", "/c"), "https://h/b": page("no date"), "https://h/c": page("2024-06-01")}
