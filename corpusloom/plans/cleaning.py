@@ -220,8 +220,10 @@ spans AS (SELECT doc_id, line_no, list_filter(regexp_extract_all(line, '“[^“
 SELECT doc_id, line_no, unnest(range(len(spans))) AS span_no, unnest(spans) AS span FROM spans""")
 def quote_span(spark: SparkSession, folder: str) -> DataFrame:
     """Quotations of every line; marks are left out, and words between full stops put into marks, with a comma."""
-    quoted = F.regexp_replace(F.regexp_replace("line", _NO_MARKS, ""), "。([^。]*)。", "“$1，”")
-    return S.quotations(_lines(spark, folder).withColumn("line", quoted)).withColumn("span_no", F.col("span_no").cast("long"))
+    quoted = F.regexp_replace(F.translate("line", _MARKS, ""), "。([^。]*)。", "“$1，”")
+    # Put out by a generator: the filter of likely lines would otherwise repeat the replacements.
+    lines = _lines(spark, folder).select("doc_id", "line_no", F.explode(F.array(quoted)).alias("line"))
+    return S.quotations(lines).withColumn("span_no", F.col("span_no").cast("long"))
 
 
 @query("""WITH f AS (SELECT doc_id, 'URL::http://x/' || doc_id || chr(10) || coalesce(text, '') || chr(10) || 'END::' AS text FROM documents WHERE doc_id IS NOT NULL),

@@ -1,6 +1,7 @@
 """Golden values and branches of the operators."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -353,6 +354,23 @@ def test_references_without_semicolon_as_in_sql(same_as_sql, spark, tmp_path, na
     assert dom.plain_text(dom.parse("&amp &notit; &#39; &#39x", closed=True)) == "&amp &notit; ' &#39x"
 
 
+def test_quote_spans_in_one_pass():
+    def walked(line):
+        out, at = [], 0
+        while at < len(line):
+            found = T.quote_span(line, at)
+            out, at = (out + [found[0]], found[1] + 1) if found else (out, at + 1)
+        return out
+
+    some = random.Random(7)
+    for _ in range(3000):
+        line = "".join(some.choice("“”‘’()（）〔[]】【﹏{}'\"。，！甲乙丙丁戊己") * some.choice((1, 1, 1, 9)) for _ in range(some.randint(0, 40)))
+        assert T.quote_spans(line) == walked(line), line
+    # No mark closes: the work stays in proportion to the line.
+    begin = time.process_time()
+    assert T.quote_spans("“甲乙" * 20_000) == [] and time.process_time() - begin < 5
+
+
 def test_crawl_with_window_and_rewrites(spark):
     page = lambda date, *links: f"{date} " + "".join(f'<a href="{x}">' for x in links)
     web = {"https://h/s": page("2024-05-01", "http://h/a?x=1", "http://h/b", "/gone", "/no"), "https://h/a": page("2020-01-01", "/c"), "https://h/b": page("no date"), "https://h/c": page("2024-06-01")}
