@@ -371,6 +371,21 @@ def test_quote_spans_in_one_pass():
     assert T.quote_spans("“甲乙" * 20_000) == [] and time.process_time() - begin < 5
 
 
+def test_han_class_has_a_whole_complement(spark):
+    every = "".join(chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000)
+    han = "".join(c for c in every if 0x4E00 <= ord(c) <= 0x9FFF or 0x3400 <= ord(c) <= 0x4DBF or 0xF900 <= ord(c) <= 0xFAFF)
+    assert _one(spark, chars.han_text(F.col("t")), t=every) == han
+
+
+def test_repeats_sort_by_a_hash(spark):
+    some = ["中文内容测试一二" + "相同的开头" * 20 + x for x in "甲乙丙甲乙甲"] + ["short line", "中文内容①测试一二三"]
+    rows = spark.createDataFrame([(1, n, x) for n, x in enumerate(some)], "doc_id long, line_no long, line string")
+    whole = {r.line_no: r.verdict for r in lines.filtered(rows).collect()}
+    assert whole == {0: "kept", 1: "kept", 2: "kept", 3: "repeat", 4: "repeat", 5: "repeat", 6: "bad", 7: "err"}
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64(" in plan(lines.filtered(rows)) and "xxhash64(" in plan(lines.first_of(rows, "line", ["line_no"]))
+
+
 def test_crawl_with_window_and_rewrites(spark):
     page = lambda date, *links: f"{date} " + "".join(f'<a href="{x}">' for x in links)
     web = {"https://h/s": page("2024-05-01", "http://h/a?x=1", "http://h/b", "/gone", "/no"), "https://h/a": page("2020-01-01", "/c"), "https://h/b": page("no date"), "https://h/c": page("2024-06-01")}
