@@ -107,7 +107,7 @@ def line_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"WITH {_FIRSTS} SELECT doc_id, line_no, han FROM ranked WHERE nth > 1")
 def repeat_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return L.filtered(_lines(spark, folder)).filter("verdict = 'repeat'").select("doc_id", "line_no", "han")
+    return L.repeats(_lines(spark, folder)).select("doc_id", "line_no", "han")
 
 
 _WHOLE = f"""{_FIRSTS},

@@ -377,13 +377,15 @@ def test_han_class_has_a_whole_complement(spark):
     assert _one(spark, chars.han_text(F.col("t")), t=every) == han
 
 
-def test_repeats_sort_by_a_hash(spark):
+def test_repeats_sort_by_a_hash_and_shuffle_good_lines_only(spark):
     some = ["中文内容测试一二" + "相同的开头" * 20 + x for x in "甲乙丙甲乙甲"] + ["short line", "中文内容①测试一二三"]
     rows = spark.createDataFrame([(1, n, x) for n, x in enumerate(some)], "doc_id long, line_no long, line string")
     whole = {r.line_no: r.verdict for r in lines.filtered(rows).collect()}
     assert whole == {0: "kept", 1: "kept", 2: "kept", 3: "repeat", 4: "repeat", 5: "repeat", 6: "bad", 7: "err"}
+    assert sorted(r.line_no for r in lines.repeats(rows).collect()) == [3, 4, 5]
     plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
     assert "xxhash64(" in plan(lines.filtered(rows)) and "xxhash64(" in plan(lines.first_of(rows, "line", ["line_no"]))
+    assert "LeftAnti" in plan(lines.repeats(rows))
 
 
 def test_crawl_with_window_and_rewrites(spark):
