@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -13,28 +14,55 @@ from corpusloom.functions import chars, urls
 PAGES = "src_file string, url string, html string"
 
 
+#: So many bytes are decoded at once.
+CHUNK = 1 << 20
+
+
 def records(data: bytes, encoding: str = "utf-8") -> Iterator[tuple[str, str]]:
-    """(url, html) of every record.  A last record that is cut short gives what there is of it."""
-    units = data.decode(encoding).encode("utf-16-le", "surrogatepass")
-    line_end, at = "\n".encode("utf-16-le"), 0
+    """(url, html) of every record.  A last record that is cut short gives what there is of it.
+
+    Beside ``data`` (any buffer) only a chunk or the record at hand is held.
+    """
+    decoder, view = codecs.getincrementaldecoder(encoding)(), memoryview(data)
+    units, at, read = bytearray(), 0, 0
+    line_end = "\n".encode("utf-16-le")
+
+    def more() -> bool:
+        """Decodes the next chunk; what has been read goes."""
+        nonlocal at, read
+        if read > len(view):
+            return False
+        del units[:at]
+        at, last = 0, read + CHUNK >= len(view)
+        units.extend(decoder.decode(bytes(view[read : read + CHUNK]), last).encode("utf-16-le", "surrogatepass"))
+        read = len(view) + 1 if last else read + CHUNK
+        return True
 
     def line() -> bytes | None:
         nonlocal at
-        stop = at
-        while (stop := units.find(line_end, stop)) % 2 and stop >= 0:
-            stop += 1
-        if stop < 0:
-            return None
-        text, at = units[at:stop], stop + 2
-        return text
-
-    while at < len(units):
+        sought = 0
+        while True:
+            stop = at + sought
+            while (stop := units.find(line_end, stop)) % 2 and stop >= 0:
+                stop += 1
+            if stop >= 0:
+                text, at = bytes(units[at:stop]), stop + 2
+                return text
+            sought = len(units) - at
+            if not more():
+                return None
+
+    while at < len(units) or more():
+        if at == len(units):
+            continue
         size, url = line(), line()
         if size is None or url is None:
             return
         count = size.decode("utf-16-le").strip()
         if not count.isascii() or not count.isdigit():
             raise ValueError(f"not an archive: {count[:40]!r} where a size should be")
+        while len(units) - at < 2 * int(count) and more():
+            pass
         stop = min(len(units), at + 2 * int(count))
         yield url.decode("utf-16-le"), units[at:stop].decode("utf-16-le", "replace")
         at = stop
@@ -48,10 +76,10 @@ def read_archives(spark: SparkSession, path: str, encoding: str = "utf-8") -> Da
         for batch in batches:
             for path_, content in zip(batch.column(0), batch.column(1), strict=True):
                 held, size = [], 0
-                for url, html in records(content.as_py(), encoding):
+                for url, html in records(content.as_buffer(), encoding):
                     held.append((path_.as_py(), url, html))
                     size += len(html)
-                    if size > 16_000_000:
+                    if size > 4_000_000:
                         yield _batch(held)
                         held, size = [], 0
                 yield _batch(held)

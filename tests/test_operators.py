@@ -2,6 +2,7 @@
 
 import random
 import time
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -465,6 +466,22 @@ def test_archives(spark, tmp_path):
     assert [(r.url, r.html) for r in archive.read_single_records(spark, str(tmp_path / "single")).collect()] == [("http://a", "a\nb")]
 
 
+def test_archives_are_read_in_chunks(monkeypatch):
+    pages = [(f"http://h/{i}", "é\U0001f600中\n" * (i % 7) + "x" * i) for i in range(60)]
+    data = "".join(f"{len(h.encode('utf-16-le')) // 2}\n{u}\n{h}" for u, h in pages).encode()
+    for size in (1, 2, 3, 7, 1000, len(data), len(data) + 1):
+        monkeypatch.setattr(archive, "CHUNK", size)
+        assert list(archive.records(data)) == pages
+        assert list(archive.records(memoryview(data[:-30])))[:-1] == pages[:-1]
+    monkeypatch.undo()
+    large = (f"2000\nu\n{'y' * 2000}" * 10_000).encode()
+    tracemalloc.start()
+    assert sum(1 for _ in archive.records(large)) == 10_000
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < len(large) / 2
+
+
 def test_text_sources_and_sinks(spark, tmp_path):
     (tmp_path / "d").mkdir()
     (tmp_path / "d" / "one.filter").write_bytes("URL::u\n中文\nEND::\n".encode("gb18030"))
